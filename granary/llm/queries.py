@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
+from granary.llm.license_scan import scan_licenses
 from granary.llm.quality_rules import judge_quality, trusted_documents
+from granary.llm.secret_scan import scan_secrets
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +26,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_quality_rules": op4_quality_rules}
+    found = [
+        op2_license_scan,
+        op3_secret_scan,
+        op4_quality_rules,
+    ]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
