@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
 from granary.llm.license_scan import scan_licenses
+from granary.llm.pii import scan_pii
 from granary.llm.quality_rules import judge_quality, trusted_documents
 from granary.llm.secret_scan import scan_secrets
 
@@ -25,11 +26,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_pii(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
+        op9_pii,
     ]
     return {f.__name__: f for f in found}
 
