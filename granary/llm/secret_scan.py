@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import materialize, text_of
 
-#: The kinds in the order of the contract.
+#: The kinds in the order of the contract. A run of access or hex characters is one match and no shorter
+#: part of it counts, so the least length can stand in the pattern; an assignment's value is measured afterwards.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
+PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
 KINDS = ("assign", "access", "hex", "entropy")
 #: Candidates of the entropy scan: long runs of the characters that encoded keys use.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
@@ -156,9 +157,8 @@ def scan_secrets(
     found = marked_matches(base, PATTERNS | {"entropy": CANDIDATE})
     good = (
         F.when(F.col("kind") == "assign", F.char_length(F.regexp_extract("match", ASSIGN, 2)) >= 6)
-        .when(F.col("kind") == "access", F.col("n") >= 20)
-        .when(F.col("kind") == "hex", F.col("n") >= 24)
-        .otherwise(~F.col("match").rlike("|".join(f"^(?:{a})$" for a in allow)))
+        .when(F.col("kind") == "entropy", ~F.col("match").rlike("|".join(f"^(?:{a})$" for a in allow)))
+        .otherwise(True)
     )
     # Few rows; written once, as the pattern and entropy branches both read them.
     kept = materialize(found.filter(good), "secrets")
