@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
 from granary.llm.license_scan import scan_licenses
+from granary.llm.packing import pack
 from granary.llm.pii import scan_pii
 from granary.llm.quality_rules import judge_quality, trusted_documents
 from granary.llm.secret_scan import scan_secrets
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_packing,
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
