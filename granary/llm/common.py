@@ -7,8 +7,11 @@ executor and the driver see it, so a lost executor loses no finished work.
 from __future__ import annotations
 
 import atexit
+import functools
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +22,26 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@functools.cache
+def _zipped() -> str:
+    """The package as a zip file, for executors that can't import it."""
+    top = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="granary-code-")) / "granary.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(top.rglob("*.py")):
+            out.write(source, source.relative_to(top.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives Python workers this package, once a session."""
+    if not getattr(spark.sparkContext, "_granary_shipped", False):
+        spark.sparkContext.addPyFile(_zipped())
+        spark.sparkContext._granary_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

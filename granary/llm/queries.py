@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
+from granary.llm.jaccard_join import near_duplicates
 from granary.llm.license_scan import scan_licenses
 from granary.llm.packing import pack
 from granary.llm.pii import scan_pii
@@ -31,6 +32,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_pii(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
+        op8_ngram_jaccard_join,
         op9_pii,
     ]
     return {f.__name__: f for f in found}
