@@ -20,6 +20,7 @@ columns other than id and HTML are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -36,6 +37,7 @@ _HIDDEN = re.compile(
     r"(?:^|[\s\"'/])hidden(?=[\s=/]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))",
     re.IGNORECASE,
 )
+_UNENDED = re.compile(r"<[A-Za-z/!?]")
 _SPACES = re.compile(r"[ \t\n\f\r]+")
 
 #: Elements of the HTML standard by the way they behave.
@@ -63,7 +65,6 @@ IMPLIED = {
     "tbody": ({"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
 }
 IMPLIED |= {"thead": IMPLIED["tbody"], "tfoot": IMPLIED["tbody"]}
-CLOSES_P = BLOCK - {"body", "html"}
 SCOPE = frozenset("table td th caption html body button".split())
 
 
@@ -75,67 +76,80 @@ class Node:
         self.children: list[Node | str] = []
 
 
-def _close(stack: list[Node], tags: set[str], bounds: set[str] | frozenset[str]) -> None:
-    """Pops the stack down to the lowest open element of tags above the nearest bound."""
-    found = None
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in bounds:
-            break
-        if stack[i].tag in tags:
-            found = i
-    if found is not None:
-        del stack[found:]
+class _Open:
+    """The stack of open elements, with the number of each tag so that a tag that is not open is not searched for."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.count = [root], Counter()
+
+    def push(self, node: Node) -> None:
+        self.stack[-1].children.append(node)
+        self.stack.append(node)
+        self.count[node.tag] += 1
+
+    def cut(self, depth: int) -> None:
+        for node in self.stack[depth:]:
+            self.count[node.tag] -= 1
+        del self.stack[depth:]
+
+    def close(self, tags: set[str] | frozenset[str], bounds: set[str] | frozenset[str], lowest: bool = True) -> None:
+        """Ends the lowest (or the highest) open element of tags above the nearest bound, and all above it."""
+        if not any(self.count[t] > 0 for t in tags):
+            return
+        found = None
+        for i in range(len(self.stack) - 1, 0, -1):
+            tag = self.stack[i].tag
+            if tag in tags:
+                found = i
+                if not lowest:
+                    break
+            elif tag in bounds:
+                break
+        if found is not None:
+            self.cut(found)
+
+
+#: An end tag reaches beyond an open cell only for the parts of a table.
+CELLS = frozenset("table td th".split())
+PARTS = frozenset("table tr tbody thead tfoot".split())
 
 
 def build_tree(html: str) -> Node:
     root = Node("html")
-    stack = [root]
-    open_tags: dict[str, int] = {}
+    open_ = _Open(root)
     at = 0
 
     def text(part: str) -> None:
         if part:
-            stack[-1].children.append(unescape(part) if "&" in part else part)
+            open_.stack[-1].children.append(unescape(part) if "&" in part else part)
 
-    while m := _TAG.search(html, at):
+    last = html.rfind(">") + 1  # no tag ends beyond it
+    while m := _TAG.search(html, at, last):
         text(html[at : m.start()])
         at = m.end()
-        if not (name := m["name"]):
+        if not (name := m["name"]) or name.lower() in ("html", "body"):
             continue
         name = name.lower()
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("table", "td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break
-            if name == "p" and open_tags.get("p", 0) == 0:
-                stack[-1].children.append(Node("p"))
+            open_.close({name}, frozenset() if name in PARTS else CELLS, lowest=False)
             continue
         attrs = m["attrs"]
-        if name in ("html", "body"):
-            if name == "body":
-                _close(stack, {"head"}, frozenset())
-            continue
         if name in BLOCK:
-            _close(stack, {"head"}, frozenset())
-        if name in CLOSES_P:
-            _close(stack, {"p"}, SCOPE)
+            open_.close({"head"}, frozenset())
+            open_.close({"p"}, SCOPE)
         if name in IMPLIED:
-            _close(stack, *IMPLIED[name])
+            open_.close(*IMPLIED[name])
         shown = name not in UNSEEN and not (attrs and _HIDDEN.search(attrs))
         first = re.search(r"start\s*=\s*[\"']?(-?\d+)", attrs) if name == "ol" and attrs else None
         node = Node(name, shown, int(first[1]) if first else 1)
-        stack[-1].children.append(node)
-        if name == "p":
-            open_tags["p"] = 1
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
             at = end.end() if end else len(html)
-        elif name not in VOID and not (attrs.endswith("/") and name in ("svg", "math")):
-            stack.append(node)
-    text(html[at:])
+        elif name in VOID:
+            open_.stack[-1].children.append(node)
+        else:
+            open_.push(node)
+    text(_UNENDED.split(html[at:], maxsplit=1)[0])
     return root
 
 

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
+from granary.llm.html_text import extract_text
 from granary.llm.jaccard_join import near_duplicates
 from granary.llm.license_scan import scan_licenses
 from granary.llm.packing import pack
 from granary.llm.pii import scan_pii
 from granary.llm.quality_rules import judge_quality, trusted_documents
+from granary.llm.quality_ranker import rank_quality
 from granary.llm.secret_scan import scan_secrets
 
 
@@ -32,6 +34,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,14 +46,20 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_pii(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_packing,
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
+        op7_html_extraction,
         op8_ngram_jaccard_join,
         op9_pii,
+        op10_quality_classifier,
     ]
     return {f.__name__: f for f in found}
 
