@@ -67,9 +67,8 @@ class ChunkEncoder:
     def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
         lots = [chunks[i : i + 500] for i in range(0, len(chunks), 500)]
         out: dict[str, bytes] = {}
-        for lot, got in zip(
-            lots, self.tokenizer.encode_batch(lots, is_pretokenized=True, add_special_tokens=False), strict=True
-        ):
+        for lot in lots:
+            got = self.tokenizer.encode(lot, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(got.ids, "<u4").tobytes()
             ends = (np.searchsorted(np.array(got.word_ids, int), np.arange(len(lot)), "right") * 4).tolist()
             out.update({c: ids[i:j] for c, i, j in zip(lot, [0, *ends], ends, strict=False)})
@@ -97,12 +96,17 @@ def _encoder(path: str, remember: int) -> ChunkEncoder:
     return ChunkEncoder(path, remember)
 
 
-def cut_pieces(docs: DataFrame, *, path: str, length: int, end_id: int, remember: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and end id, cut every ``length`` ids."""
+def cut_pieces(
+    docs: DataFrame, *, path: str, length: int, end_id: int, remember: int, lot: int = 256
+) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and end id, cut every ``length`` ids.
+
+    lot texts are encoded at a time, which bounds the tokenizer's memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, last = _encoder(path, remember), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(i, lot) for b in batches for i in range(0, b.num_rows, lot)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at, start, size, crc, total = [], [], [], [], []
             for k, ids in enumerate(encoder.encode(texts)):
