@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.common import table
+from granary.llm.decontamination import find_leaks
 from granary.llm.html_text import extract_text
 from granary.llm.jaccard_join import near_duplicates
 from granary.llm.license_scan import scan_licenses
@@ -34,6 +35,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
+        op6_benchmark_decontamination,
         op7_html_extraction,
         op8_ngram_jaccard_join,
         op9_pii,
