@@ -10,6 +10,7 @@ from granary.llm.common import table
 from granary.llm.decontamination import find_leaks
 from granary.llm.html_text import extract_text
 from granary.llm.jaccard_join import near_duplicates
+from granary.llm.language_model import score_documents
 from granary.llm.license_scan import scan_licenses
 from granary.llm.packing import pack
 from granary.llm.pii import scan_pii
@@ -35,6 +36,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_license_scan,
         op3_secret_scan,
         op4_quality_rules,
+        op5_lm_scoring,
         op6_benchmark_decontamination,
         op7_html_extraction,
         op8_ngram_jaccard_join,
