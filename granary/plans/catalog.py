@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -28,32 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query(
-    """
-    SELECT strftime(o_orderdate, '%Y-%m') AS month, p_brand AS category,
-           round_even(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue,
-           count(DISTINCT o_orderkey) AS n_orders, count(*) AS n_lines
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-    GROUP BY 1, 2
-    """
-)
-def monthly_revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
-    return joined.groupBy(
-        F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("p_brand").alias("category")
-    ).agg(
-        F.bround(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
-        F.count_distinct("o_orderkey").alias("n_orders"),
-        F.count("*").alias("n_lines"),
-    )
+def _load() -> None:
+    from granary.plans import cleaning, reports, sales, texts  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
