@@ -76,5 +76,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Shingle sets joined with each other, links, and all that each document reaches.
+NEAR_DUPLICATES_SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(len(w) - 4), lambda i: w[i + 1 : i + 5]) WHEN len(w) > 0 THEN [w] ELSE [] END)) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.root = l.a)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_ngram_jaccard_join": NEAR_DUPLICATES_SQL}
