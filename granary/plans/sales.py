@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.operators.relational import first_per_key
 from granary.operators.windows import lorenz, pareto, rolling_mean
 from granary.plans.catalog import query, table
 
-#: Sums of exact hundredths don't depend on their order.
-REVENUE = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+
+def line_revenue() -> Column:
+    """In exact hundredths, so that sums don't depend on their order."""
+    return F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+
 
 
 def sold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their order's customer and date and their part's brand."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("revenue", REVENUE)
+    lines = table(spark, sf_dir, "lineitem").withColumn("revenue", line_revenue())
     orders, parts = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
 
@@ -70,7 +73,7 @@ def monthly_activity(spark, sf_dir):
 
 
 def _ranked(spark, sf_dir, order):
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.round(F.sum(REVENUE), 2).cast("double").alias("revenue"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.round(F.sum(line_revenue()), 2).cast("double").alias("revenue"))
     return lines.orderBy(order("revenue"), "l_partkey").limit(20)
 
 
