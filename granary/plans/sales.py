@@ -46,14 +46,14 @@ def monthly_revenue_by_category(spark, sf_dir):
 
 
 @query(
-    f"""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, round(sum(revenue), 2)::DOUBLE AS revenue FROM {SOLD} GROUP BY 1)
-    SELECT day, round(revenue, 2) AS revenue, CASE WHEN count(*) OVER w = 30 THEN round(avg(revenue) OVER w, 1) END AS mean30
+    f"""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(round(sum(revenue) * 100) AS BIGINT) AS cents FROM {SOLD} GROUP BY 1)
+    SELECT day, cents, CASE WHEN count(*) OVER w = 30 THEN CAST(floor(avg(cents) OVER w) AS BIGINT) END AS mean30
     FROM d WINDOW w AS (ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"""
 )
 def daily_revenue_rolling30(spark, sf_dir):
-    days = sold(spark, sf_dir).groupBy(F.to_date("o_orderdate").alias("day")).agg(F.round(F.sum("revenue"), 2).cast("double").alias("revenue"))
-    rolled = rolling_mean(days, "revenue", [F.col("day")], 30, "mean30")
-    return rolled.select("day", F.round("revenue", 2).alias("revenue"), F.round("mean30", 1).alias("mean30"))
+    cents = F.round(F.sum("revenue") * 100).cast("long")
+    days = sold(spark, sf_dir).groupBy(F.to_date("o_orderdate").alias("day")).agg(cents.alias("cents"))
+    return rolling_mean(days, "cents", [F.col("day")], 30, "mean30").withColumn("mean30", F.floor("mean30"))
 
 
 @query(
