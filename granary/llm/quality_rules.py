@@ -131,11 +131,13 @@ def judge_quality(
     )
     out = out.withColumn("llr", F.when(F.size("_t") > 0, total / (2 * F.size("_t"))).otherwise(0.0))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    return out.select(
+    verdict = F.struct(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"), "llr",
         *(["row"] if keep_columns else []),
     )
+    # A generated row: a filter on the verdict is not pushed below and made one expression with all that it rests on.
+    return out.select(F.inline(F.array(verdict)))
 
 
 def trusted_documents(labels: DataFrame, limit: int = 50_000) -> DataFrame:
