@@ -134,8 +134,8 @@ def rank_quality(
         .mapInArrow(describe, f"quality {kind}, x array<double>")
         .toPandas()
     )
-    x = np.array(fitted["x"].tolist(), float).reshape(len(fitted), -1)
-    ranker = fit_ranker(x if len(fitted) else np.zeros((0, len(features("")))), fitted["quality"].to_numpy() == 1)
+    x = np.array(fitted["x"].tolist(), float).reshape(len(fitted), len(features("")))
+    ranker = fit_ranker(x, fitted["quality"].to_numpy() == 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
