@@ -21,11 +21,11 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +46,10 @@ def default_tokenizer() -> str:
 _ODD = re.compile("<\\||[\x1c-\x1f\u0130\u0300-\u036f\u03a3\u0483-\u0489\u0591-\uabff\uf900-\ufdff\U00010000-\U0010ffff]")
 
 
+#: The tokenizer's own split of a chunk into words.
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+
+
 class ChunkEncoder:
     """Token ids of whole texts as bytes, with the ids of common chunks remembered.
 
@@ -58,37 +62,50 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.remember = remember
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
-        lots = [chunks[i : i + 500] for i in range(0, len(chunks), 500)]
+    def _encode_new(self, chunks: list[str], lot: int = 500) -> dict[str, bytes]:
+        """Ids of each chunk. Lots of chunks are encoded as one text and cut at the tokens that end a word."""
         out: dict[str, bytes] = {}
-        for lot in lots:
-            got = self.tokenizer.encode(lot, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, "<u4").tobytes()
-            ends = (np.searchsorted(np.array(got.word_ids, int), np.arange(len(lot)), "right") * 4).tolist()
-            out.update({c: ids[i:j] for c, i, j in zip(lot, [0, *ends], ends, strict=False)})
+        for part in (chunks[i : i + lot] for i in range(0, len(chunks), lot)):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends_word[ids]) + 1
+            words = np.cumsum([1 if c.isalpha() else len(_SPLIT.findall(c)) for c in part])
+            if words[-1] != len(last):  # the two splits differ: one by one
+                out.update((c, self.whole(c)) for c in part)
+                continue
+            cuts, data = (4 * last[words - 1]).tolist(), ids.tobytes()
+            out.update({c: data[i:j] for c, i, j in zip(part, [0, *cuts], cuts, strict=False)})
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [None if _ODD.search(t) else t.lower().split() for t in texts]
-        new = list({c for own in chunks if own for c in own} - self.known.keys())
-        found = self._encode_new(new)
-        room = self.remember - len(self.known)
-        if room >= len(found):
-            self.known.update(found)
-            table = self.known
-        else:
-            self.known.update(list(found.items())[:room])
-            table = ChainMap(self.known, found)
-        return [
-            self.whole(t) if own is None else b"".join(map(table.__getitem__, own))
-            for t, own in zip(texts, chunks, strict=True)
-        ]
+        known = self.known
+        room = self.remember - len(known)
+        new, ended, need = set().union(*filter(None, chunks)) - known.keys(), [], set()
+        for c in new:  # a stop or comma after a letter is a word of its own
+            stem = c.rstrip(".,")
+            if stem != c and stem and stem[-1].isalpha():
+                ended.append((c, stem, c[len(stem) :]))
+                need.update((stem, c[len(stem) :]))
+            else:
+                need.add(c)
+        added = list(need - known.keys())
+        known.update(self._encode_new(added))
+        known.update([(c, known[stem] + known[tail]) for c, stem, tail in ended])
+        get = known.__getitem__
+        out = [self.whole(t) if own is None else b"".join(map(get, own)) for t, own in zip(texts, chunks, strict=True)]
+        added += [c for c, _, _ in ended]
+        for c in added[max(room, 0) :]:  # beyond the bound: forgotten again
+            known.pop(c, None)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -97,7 +114,7 @@ def _encoder(path: str, remember: int) -> ChunkEncoder:
 
 
 def cut_pieces(
-    docs: DataFrame, *, path: str, length: int, end_id: int, remember: int, lot: int = 256
+    docs: DataFrame, *, path: str, length: int, end_id: int, remember: int, lot: int = 512
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and end id, cut every ``length`` ids.
 
@@ -122,6 +139,7 @@ def cut_pieces(
             columns = [pa.array(c, pa.int64()) for c in (start, size, crc, total)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names)
+        encoder.known.clear()  # a Python worker lives on after the task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
