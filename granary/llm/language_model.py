@@ -3,11 +3,10 @@
 Word counts of all training documents give a smoothed unigram base, the model's
 vocabulary with its output classes, and the starting biases. The model is a GRU
 whose softmax is factored into a class and a word within it. It is trained by
-truncated backpropagation in numpy: trainers each take a share of a hashed
-sample of the training documents, carry the state from window to window, and
-their parameters are averaged after each round; the sample is a fixed fraction,
-so it grows with the corpus. Scoring carries the state through whole documents.
-Words outside the vocabulary count as one symbol of the model times their share
+truncated backpropagation in numpy over every training document: each round has
+its share of them, trainers each take some of its rows and carry the state from
+window to window, and their parameters are averaged after the round. Scoring
+carries the state through whole documents. Words outside the vocabulary count as one symbol of the model times their share
 among such words by counts.
 
 The ``known_words`` most frequent words are broadcast; the counts of the others
@@ -125,22 +124,27 @@ class Model:
             grads["class_b"] += d.sum(0)
             dh = d @ p["class_w"].T
         order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(len(p["word_b"]) + 1))
-        for c in np.flatnonzero(np.diff(edges)).tolist():
-            rows = order[edges[c] : edges[c + 1]]
-            own = h[rows] @ p["word_w"][c] + p["word_b"][c]
-            own -= own.max(1, keepdims=True)
-            e = np.exp(own)
-            total = e.sum(1, keepdims=True)
-            here = np.arange(len(rows))
-            out[rows] += own[here, at[rows]] - np.log(total[:, 0])
-            if grads is not None:
-                d = e / total
-                d[here, at[rows]] -= 1
-                d /= m
-                grads["word_w"][c] += h[rows].T @ d
-                grads["word_b"][c] += d.sum(0)
-                dh[rows] += d @ p["word_w"][c].T
+        edges = np.searchsorted(cls[order], np.arange(len(p["word_b"]) + 1)).tolist()
+        used = [(c, edges[c], edges[c + 1]) for c in range(len(p["word_b"])) if edges[c] < edges[c + 1]]
+        hs, here, goal = h[order], np.arange(m), at[order]
+        own = np.empty((m, self.width), np.result_type(h, p["word_w"]))
+        for c, i, j in used:
+            np.matmul(hs[i:j], p["word_w"][c], out=own[i:j])
+        own += p["word_b"][cls[order]]
+        own -= own.max(1, keepdims=True)
+        e = np.exp(own)
+        total = e.sum(1, keepdims=True)
+        out[order] += own[here, goal] - np.log(total[:, 0])
+        if grads is not None:
+            d = e / total
+            d[here, goal] -= 1
+            d /= m
+            back = np.empty_like(hs)
+            for c, i, j in used:
+                grads["word_w"][c] += hs[i:j].T @ d[i:j]
+                grads["word_b"][c] += d[i:j].sum(0)
+                np.matmul(d[i:j], p["word_w"][c].T, out=back[i:j])
+            dh[order] += back
         return out if grads is None else (out, dh)
 
     def score(self, docs: list[np.ndarray], chunk: int = 1 << 16) -> np.ndarray:
@@ -169,46 +173,79 @@ class Model:
         out[order] = total
         return out
 
-    def train(self, docs: list[np.ndarray], *, rows: int = 48, window: int = 24, rate: float = 0.08) -> int:
-        """One pass of truncated backpropagation over docs, ``rows`` streams side by side; the number of tokens."""
+    def train(
+        self, docs: list[np.ndarray], *, rows: int = 48, window: int = 24, rate: float = 0.08, squares: dict | None = None
+    ) -> int:
+        """One pass of truncated backpropagation over docs, ``rows`` streams side by side; the number of tokens.
+
+        squares holds the summed squares of gradients from call to call.
+        """
         if not docs:
             return 0
+        squares = {} if squares is None else squares
+        for k, v in self.p.items():
+            squares.setdefault(k, np.full_like(v, 1e-4))
         stream = np.concatenate(docs)
         rows = max(1, min(rows, len(stream) // window))
-        steps = len(stream) // rows
-        lanes = stream[: rows * steps].reshape(rows, steps)
+        steps, extra = divmod(len(stream), rows)  # the first streams are one token longer
+        starts = np.arange(rows) * steps + np.minimum(np.arange(rows), extra)
         end = docs[0][-1]
-        squares = {k: np.full_like(v, 1e-4) for k, v in self.p.items()}
-        h, x, n = np.zeros((rows, self.hidden), np.float32), np.full(rows, end), self.hidden
+        h, x = np.zeros((rows, self.hidden), np.float32), np.full(rows, end)
         for a in range(0, steps, window):
-            part = lanes[:, a : a + window]
-            kept, states = [], []
-            for t in range(part.shape[1]):
-                before = np.where((x == end)[:, None], 0, h).astype(np.float32)  # a new document starts afresh
-                h, z, r, new, gh = self.step(x, before)
-                kept.append((x, before, z, r, new, gh))
-                states.append(h)
-                x = part[:, t]
-            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-            _, dhs = self.log_probabilities(np.concatenate(states), part.T.ravel(), grads)
-            dhs = dhs.reshape(part.shape[1], rows, n)
-            dh = np.zeros((rows, n), np.float32)
-            for t in reversed(range(part.shape[1])):
-                xs, before, z, r, new, gh = kept[t]
-                dh = dh + dhs[t]
-                dnew = dh * (1 - z) * (1 - new * new)
-                dz = dh * (before - new) * z * (1 - z)
-                dr = dnew * gh * r * (1 - r)
-                np.add.at(grads["input"], xs, (dx := np.concatenate([dz, dr, dnew], 1)))
-                grads["bias"] += dx.sum(0)
-                dstate = np.concatenate([dz, dr, dnew * r], 1)
-                grads["state"] += before.T @ dstate
-                dh = np.where((xs == end)[:, None], 0, dh * z + dstate @ self.p["state"].T)
-            for k, g in grads.items():
-                np.clip(g, -1, 1, out=g)
-                squares[k] += g * g
-                self.p[k] -= rate * g / np.sqrt(squares[k])
-        return rows * steps
+            part = stream[starts[:, None] + np.arange(a, min(a + window, steps))]
+            h = self._learn(part, x, h, end, rate, squares)
+            x = part[:, -1]
+        if extra:
+            self._learn(stream[starts[:extra] + steps][:, None], x[:extra], h[:extra], end, rate, squares)
+        return len(stream)
+
+    def _learn(self, part: np.ndarray, x: np.ndarray, h: np.ndarray, end: int, rate: float, squares: dict) -> np.ndarray:
+        """One update by the words of part after words x and states h; the states after it."""
+        n, steps, rows = self.hidden, part.shape[1], part.shape[0]
+        given = np.concatenate([x[:, None], part[:, :-1]], 1).T
+        going = (given != end).astype(np.float32)[:, :, None]  # a new document starts afresh
+        gxs = self.p["input"][given] + self.p["bias"]
+        state = self.p["state"]
+        befores, states = (np.empty((steps, rows, n), np.float32) for _ in range(2))
+        kept = []
+        for t in range(steps):
+            before = np.multiply(h, going[t], out=befores[t])
+            gx, gh = gxs[t], before @ state
+            both = _sigmoid(gx[:, : 2 * n] + gh[:, : 2 * n])
+            z, r, gh = both[:, :n], both[:, n:], gh[:, 2 * n :]
+            new = np.tanh(gx[:, 2 * n :] + r * gh)
+            h = states[t] = new + z * (before - new)
+            kept.append((z, r, new, gh))
+        grads = {k: np.zeros_like(v) for k, v in self.p.items() if k != "input"}
+        _, dhs = self.log_probabilities(states.reshape(-1, n), part.T.ravel(), grads)
+        dhs = dhs.reshape(steps, rows, n)
+        dh = np.zeros((rows, n), np.float32)
+        dx, dstate = (np.empty((steps, rows, 3 * n), np.float32) for _ in range(2))
+        for t in reversed(range(steps)):
+            z, r, new, gh = kept[t]
+            dh = dh + dhs[t]
+            dnew = dh * (1 - z) * (1 - new * new)
+            dx[t, :, :n] = dh * (befores[t] - new) * z * (1 - z)
+            dx[t, :, n : 2 * n] = dnew * gh * r * (1 - r)
+            dx[t, :, 2 * n :] = dnew
+            dstate[t, :, : 2 * n] = dx[t, :, : 2 * n]
+            dstate[t, :, 2 * n :] = dnew * r
+            dh = (dh * z + dstate[t] @ state.T) * going[t]
+        dx = dx.reshape(-1, 3 * n)
+        grads["bias"] += dx.sum(0)
+        grads["state"] += befores.reshape(-1, n).T @ dstate.reshape(-1, 3 * n)
+        for k, g in grads.items():
+            np.clip(g, -1, 1, out=g)
+            squares[k] += g * g
+            self.p[k] -= rate * g / np.sqrt(squares[k])
+        # Only the words given have a gradient; without one nothing changes.
+        order = np.argsort(given.ravel(), kind="stable")
+        words, first = np.unique(given.ravel()[order], return_index=True)
+        g = np.clip(np.add.reduceat(dx[order], first), -1, 1)
+        sums = squares["input"][words] + g * g
+        squares["input"][words] = sums
+        self.p["input"][words] -= rate * g / np.sqrt(sums)
+        return h
 
     def blocks(self) -> np.ndarray:
         flat = np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
@@ -227,21 +264,25 @@ def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarr
     return np.fromiter((get(w, unknown) for w in tokens), np.int64, len(tokens))
 
 
-def train_model(texts: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, part: int) -> Model:
-    """Averages trainers' parameters after each of ``rounds`` rounds; each takes one document in ``part``."""
-    spark = texts.sparkSession
+def train_model(docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, part: int | None = None) -> Model:
+    """Averages trainers' parameters after each of ``rounds`` rounds over docs (doc_id, text).
+
+    Each document is learned from in one of the rounds; with part, only one document in part in each round.
+    The round goes by content, so that none is missed if rows come in another order; trainers are dealt rows,
+    so that copies of a text do not meet at one.
+    """
+    spark = docs.sparkSession
     trainers = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(part))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(part or rounds))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast((model, place))
 
         def run(batches: Iterator[pa.RecordBatch], held: Any = held) -> Iterator[pa.RecordBatch]:
             own, words = held.value
             own = own.with_blocks(own.blocks().copy())
-            n = 0
-            for batch in batches:
-                unknown = words[None]
-                n += own.train([_ids(tokens_of(t), words, unknown) for t in batch.column(0).to_pylist()])
+            n, squares, unknown = 0, {}, words[None]
+            for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
+                n += own.train([_ids(tokens_of(t), words, unknown) for t in batch.column(0).to_pylist()], squares=squares)
             if n:
                 rows = own.blocks().astype(np.float32)
                 values = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), BLOCK).cast(pa.list_(pa.float32()))
@@ -252,8 +293,9 @@ def train_model(texts: DataFrame, model: Model, place: dict[bytes, int], *, roun
             mean = np.average(np.stack(group.v), axis=0, weights=group.n)
             return pd.DataFrame({"at": group["at"].iloc[:1], "v": [mean.astype(np.float32)]})
 
-        sample = texts.filter(drawn == turn).repartition(trainers, F.xxhash64("text"))
-        found = sample.mapInArrow(run, "at int, n long, v array<float>").groupBy("at")
+        row = F.xxhash64(F.monotonically_increasing_id(), F.lit(turn))
+        dealt = docs.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row").select("text")
+        found = dealt.mapInArrow(run, "at int, n long, v array<float>").groupBy("at")
         rows = found.applyInPandas(average, "at int, v array<float>").toPandas()
         if len(rows):
             model = model.with_blocks(np.stack(rows.sort_values("at").v))
@@ -272,14 +314,17 @@ def score_documents(
     width: int = 64,
     hidden: int = 16,
     rounds: int = 2,
-    sample_part: int = 32,
+    sample_part: int | None = None,
 ) -> DataFrame:
-    """One row for each row of docs: held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    """One row for each row of docs: held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+
+    The model learns from every training document; with sample_part, from one in so many in each round.
+    """
     spark = docs.sparkSession
     base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     out_of_fit = F.coalesce(held_out(F.col("doc_id"), parts, test_part), F.lit(False))
-    training = base.filter(~out_of_fit).select(F.coalesce("text", F.lit("")).alias("text"))
-    counts = materialize(count_words(training), "words")
+    training = base.filter(~out_of_fit).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counts = materialize(count_words(training.select("text")), "words")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, n_words = int(sums["n"]), int(sums["v"])
     top = counts.orderBy(F.col("word") != "", F.desc("c"), "word").limit(known_words).toPandas()  # the end token first

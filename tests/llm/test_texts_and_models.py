@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from granary.llm.html_text import extract_text, visible_text
-from granary.llm.language_model import Model, score_documents, tokens_of
+from granary.llm.language_model import Model, score_documents, tokens_of, train_model
 from granary.llm.pii import KINDS, find_spans, plain_spans, redact, redacted, rewrite, scan_pii
 from granary.llm.quality_ranker import fit_ranker, rank_quality
 
@@ -103,6 +103,26 @@ def test_model_is_a_distribution_and_learns():
     assert after[0] > before / 2 and after[0] == pytest.approx(after[1], rel=1e-4)
 
 
+def test_every_token_is_learned_from():
+    docs = [np.array([k % 15 + 1] * k + [0]) for k in range(1, 30)]
+    assert Model.start(np.ones(16), 4, 4).train(docs, rows=7, window=8) == sum(map(len, docs))
+    model = Model.start(np.ones(16), 4, 4)
+    before = {k: v.copy() for k, v in model.p.items()}
+    model.train([np.array([1] * 8), np.array([9, 0])], rows=3, window=2)
+    assert not np.array_equal(before["input"][9], model.p["input"][9])
+
+
+def test_every_training_document_is_learned_from(make):
+    # Copies, a null id and one text in a third of the rows; each row's word moves its own input weights.
+    words = [b"", *(f"w{k}".encode() for k in range(40))]
+    texts = [(k, f"w{k} w{k}") for k in range(40)] + [(None, "w0 w0")] * 3 + [(7, "w1 w1")] * 10
+    model = Model.start(np.ones(64), 4, 8)
+    place = {w: k for k, w in enumerate(words)} | {None: 41}
+    learned = train_model(make(texts).select("doc_id", "text"), model, place, rounds=2)
+    moved = np.abs(learned.p["input"] - model.p["input"]).max(1) > 0
+    assert moved[:41].all() and not moved[41:].any()
+
+
 def test_base_scores(make, odd, prose):
     texts = odd + list(enumerate(prose(60, 12), 10))
     held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in texts}
