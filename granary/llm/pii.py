@@ -58,12 +58,15 @@ _RUN = rf"(?<![A-Za-z])(?:plus[\s-]+)?{_WORD}(?:[\s,-]+{_WORD}){{6,}}(?![A-Za-z]
 _TOP = "(?:com|org|net|edu|gov|info|biz|io|co|uk|us|eu|de|fr|es|it|nl|ch|at|be|ca|au)"
 _LABELS = r"[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+){0,3}?"
 _AT = (
-    r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*"
+    r"(?<!\s)\s*+[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*"
     rf"|(?<=[A-Za-z0-9])\s+at\s+(?={_LABELS}\s+dot\s+{_TOP}(?![A-Za-z0-9]))"
 )
-_DOT = r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])"
+_DOT = r"(?<!\s)\s*+[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])"
 _REWRITE = re.compile(f"(?P<at>{_AT})|(?P<dot>{_DOT})|(?P<run>{_RUN})", re.IGNORECASE)
-_RARE = ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+#: What every match of _REWRITE has, besides "dot" and as many spelled digits as a run: the way in for texts worth the search.
+_BRACKET = re.compile(r"[(\[{<]\s*(?:at|@|dot|\.)\s*[)\]}>]", re.IGNORECASE)
+#: Letters that a pattern takes for others where case is ignored.
+_SAME_CASE = str.maketrans("ſıİ", "sii")
 
 
 def _luhn(digits: str) -> bool:
@@ -115,8 +118,8 @@ def rewrite(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
         source = _ODD.sub(lambda m: _ONE_FOR_ONE[m[0]], text)  # one for one: offsets stay
     odd = [i for i, (a, b) in enumerate(zip(text, source, strict=True)) if a != b] if source is not text else []
     text, place = source, 0
-    lower = text.lower()
-    need = "dot" in lower or "(at" in lower or "[at" in lower or "{at" in lower or sum(w in lower for w in _RARE) >= 3
+    lower = (text if text.isascii() else text.translate(_SAME_CASE)).lower()
+    need = "dot" in lower or _BRACKET.search(text) or sum(map(lower.count, SPELLED)) >= 7
     for m in _REWRITE.finditer(text) if need else ():
         while place < len(odd) and odd[place] < m.start():
             put(text[odd[place]], odd[place], odd[place] + 1)
@@ -124,7 +127,7 @@ def rewrite(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
         while place < len(odd) and odd[place] < m.end():
             place += 1
         if m.lastgroup == "run":
-            words = re.findall("[a-z]+", m[0].lower())
+            words = re.findall("[a-z]+", m[0].translate(_SAME_CASE).lower())
             put("".join("+" if w == "plus" else SPELLED[w] for w in words), m.start(), m.end())
         else:
             put("@" if m.lastgroup == "at" else ".", m.start(), m.end())

@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -34,6 +35,27 @@ def test_disguises():
     assert redacted("x bob@a.com y bob (at) a [dot] org z") == "x [EMAIL] y [EMAIL] z"
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("bob (@) mail.example.com", "email"), ("joe@example[.]com", "email"), ("10.0.0[.]1", "ip"),
+        ("joe <at> example.com", "email"), ("bob ( at ) example.com", "email"), ("joe@example{ DOT }com", "email"),
+        ("plus one five five five one one five one one five five", "phone"),
+        ("plus one oh oh oh one one oh one one oh oh", "phone"), ("plus fıve ſix one one one one one one one", "phone"),
+    ],
+)
+def test_disguises_stand_alone(text, kind):
+    assert show(text) == ([], [(kind, text)])
+    assert show(f"{text} ; a dot")[1] == [(kind, text)] and redacted(f"so {text}") == f"so [{kind.upper()}]"
+
+
+def test_rewriting_is_linear():
+    for text in (" " * 200_000 + "x", "( " * 50_000, "one, " * 6 + " " * 200_000, "a at " * 40_000, "x" + " " * 200_000 + "y"):
+        began = time.process_time()
+        assert rewrite(text)[0]
+        assert time.process_time() - began < 5
+
+
 def test_pii_tables(make, odd):
     texts = [*odd, (20, "mail a@b.cd or 10.0.0.1")]
     by = {r.doc_id: r for r in scan_pii(make(texts)).collect()}
