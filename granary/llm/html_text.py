@@ -3,7 +3,7 @@
 A tree is built first: void elements take no children, raw text is read to its
 end tag, and missing tags are implied (a paragraph ends where a block starts, an
 item where the next one does, cells and rows likewise). The tree is then
-rendered: hidden elements are left out, white space collapses outside ``pre``,
+rendered: hidden elements are left out, a select box shows its chosen option, white space collapses outside ``pre``,
 blocks are set apart by blank lines, items get bullets or numbers with an indent
 for each level, and a table's columns are aligned by padding.
 
@@ -33,10 +33,8 @@ _TAG = re.compile(
     r"|<[!?/][^>]*>?|<[A-Za-z][^>]*>",
     re.DOTALL,
 )
-_HIDDEN = re.compile(
-    r"(?:^|[\s\"'/])hidden(?=[\s=/]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))",
-    re.IGNORECASE,
-)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+_UNDISPLAYED = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![\w-])", re.IGNORECASE)
 _UNENDED = re.compile(r"<[A-Za-z/!?]")
 _SPACES = re.compile(r"[ \t\n\f\r]+")
 
@@ -44,9 +42,13 @@ _SPACES = re.compile(r"[ \t\n\f\r]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist select"
-    " textarea".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist".split()
 )
+#: In drawings and formulas: what describes them, or is drawn only where it is referred to.
+UNSEEN_IN = {
+    "svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
 BLOCK = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2"
     " h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split()
@@ -59,6 +61,7 @@ IMPLIED = {
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
     "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
     "td": ({"td", "th"}, {"table", "tr"}),
     "th": ({"td", "th"}, {"table", "tr"}),
     "tr": ({"td", "th", "tr", "caption", "colgroup"}, {"table"}),
@@ -68,11 +71,19 @@ IMPLIED |= {"thead": IMPLIED["tbody"], "tfoot": IMPLIED["tbody"]}
 SCOPE = frozenset("table td th caption html body button".split())
 
 
+def attributes(source: str) -> dict[str, str]:
+    """Values by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(source):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
 class Node:
-    __slots__ = ("tag", "shown", "start", "children")
+    __slots__ = ("tag", "shown", "start", "children", "attrs")
 
-    def __init__(self, tag: str, shown: bool = True, start: int = 1) -> None:
-        self.tag, self.shown, self.start = tag, shown, start
+    def __init__(self, tag: str, shown: bool = True, start: int = 1, attrs: dict[str, str] | None = None) -> None:
+        self.tag, self.shown, self.start, self.attrs = tag, shown, start, attrs or {}
         self.children: list[Node | str] = []
 
 
@@ -133,17 +144,26 @@ def build_tree(html: str) -> Node:
         if m["end"]:
             open_.close({name}, frozenset() if name in PARTS else CELLS, lowest=False)
             continue
-        attrs = m["attrs"]
+        attrs = attributes(m["attrs"]) if m["attrs"] else {}
         if name in BLOCK:
             open_.close({"head"}, frozenset())
             open_.close({"p"}, SCOPE)
         if name in IMPLIED:
             open_.close(*IMPLIED[name])
-        shown = name not in UNSEEN and not (attrs and _HIDDEN.search(attrs))
-        first = re.search(r"start\s*=\s*[\"']?(-?\d+)", attrs) if name == "ol" and attrs else None
-        node = Node(name, shown, int(first[1]) if first else 1)
+        shown = name not in UNSEEN and "hidden" not in attrs and not _UNDISPLAYED.search(attrs.get("style", ""))
+        for outer, unseen in UNSEEN_IN.items():
+            shown = shown and not (name in unseen and open_.count[outer] > 0)
+        first = re.match(r"\s*(-?\d+)", attrs.get("start", "")) if name == "ol" else None
+        node = Node(name, shown, int(first[1]) if first else 1, attrs)
+        if m["attrs"].endswith("/") and (open_.count["svg"] > 0 or open_.count["math"] > 0):
+            open_.stack[-1].children.append(node)  # foreign elements may end themselves
+            continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
+            if name == "textarea":
+                content = html[at : end.start() if end else len(html)]
+                node.children.append(unescape(content).replace("\r\n", "\n").removeprefix("\n"))
+                open_.stack[-1].children.append(node)
             at = end.end() if end else len(html)
         elif name in VOID:
             open_.stack[-1].children.append(node)
@@ -153,6 +173,37 @@ def build_tree(html: str) -> Node:
     return root
 
 
+def _chosen(select: Node) -> list[Node]:
+    """The options that a browser shows: all of a list box, else the last selected one or the first that can be chosen."""
+    options, work = [], [(c, False) for c in reversed(select.children)]
+    while work:
+        node, off = work.pop()
+        if isinstance(node, str) or not node.shown:
+            continue
+        off = off or "disabled" in node.attrs
+        if node.tag == "option":
+            options.append((node, off))
+        else:
+            work += [(c, off) for c in reversed(node.children)]
+    size = select.attrs.get("size", "").strip()
+    if "multiple" in select.attrs or (size.isdecimal() and int(size) > 1):
+        return [o for o, _ in options]
+    selected = [o for o, _ in options if "selected" in o.attrs]
+    return selected[-1:] or [o for o, off in options if not off][:1]
+
+
+def _texts(node: Node) -> list[str]:
+    """The texts below a node, in order."""
+    out, work = [], [node]
+    while work:
+        part = work.pop()
+        if isinstance(part, str):
+            out.append(part)
+        elif part.shown:
+            work += reversed(part.children)
+    return out
+
+
 class _Page:
     """Lines of one flow: the page itself or a table cell."""
 
@@ -240,6 +291,20 @@ def render(root: Node) -> str:
             if tag == "hr":
                 page.end(1)
                 continue
+            if tag == "select":
+                for k, option in enumerate(_chosen(node)):
+                    if k:
+                        page.add(" ", indent)
+                    label = option.attrs.get("label")
+                    texts = [label] if label else _texts(option)
+                    page.add(_SPACES.sub(" ", "".join(texts)).strip(" "), indent)
+                continue
+            if tag == "textarea":
+                for k, x in enumerate("".join(node.children).split("\n")):
+                    if k:
+                        page.end()
+                    page.add(x, indent)
+                continue
             if tag in BLOCK:
                 page.end(1 if tag in APART and not (lists[-1] and tag in ("ul", "ol", "menu")) else 0)
             if tag in ("ul", "menu"):

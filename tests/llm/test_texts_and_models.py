@@ -73,6 +73,26 @@ def test_html_layout():
     assert visible_text("<div>" * 50_000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div title="no hidden fees">a</div>b', "a\nb"), ('<p class="hidden md:block">a</p>', "a"),
+        ('<p data-style="display:none">a</p>', "a"), ("<p title='hidden'>a</p>", "a"), ("<p data-hidden=1>a</p>", "a"),
+        ("<p title=\"style='display:none'\">a</p>", "a"), ("<p HIDDEN>a</p>b", "b"), ('<p hidden="">a</p>b', "b"),
+        ('<p class="x"hidden>a</p>b', "b"), ("<p style=display:none>a</p>b", "b"),
+        ('<p style="color:red; VISIBILITY : hidden">a</p>b', "b"), ("<br/><p hidden/>a</p>b", "b"),
+        ("<p>x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> y", "x a=2 y"),
+        ("<svg viewBox='0 0 1 1'><title>no</title><defs><text>no</text></defs><path d='M0'/><text>s</text></svg> y", "s y"),
+        ("<select><option>a<option selected>b <option>c</select> y", "b y"), ("<select><option>a<option>b</select>", "a"),
+        ("<select><optgroup label=g><option disabled>a<option>b<optgroup><option>c</select>", "b"),
+        ("<select multiple><option>a<option>b</select>", "a b"), ("<select></select>y", "y"),
+        ("x <textarea>\na &lt;b>\nc</textarea> y", "x a <b>\nc y"), ("<textarea>a", "a"),
+    ],
+)
+def test_html_shows_what_is_visible(page, text):
+    assert visible_text(page) == text
+
+
 def test_html_table(spark, make):
     make({})
     rows = [(1, "<p>a"), (2, None), (3, ""), (1, "<p>a")]
