@@ -25,11 +25,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near duplicates."""
-    groups = materialize(near_duplicates(docs), "groups")
-    # Ids to drop are few against the texts; both sides are dealt by doc_id once.
-    others = groups.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near duplicates: that of the smallest id, a null id last, and the first of equal ids.
+
+    Ids may be null or repeat, so rows go by a key of their own.
+    """
+    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    groups = near_duplicates(keyed, id_column="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"]
+    kept = groups.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("_row"))
+    return keyed.join(materialize(kept.select("_row"), "kept"), "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
