@@ -5,7 +5,7 @@ edit distances. A random walk over a window's words (CGK: emit the word under th
 pointer, then advance it or not by a random bit of step and word) maps windows
 few edits apart to strings that differ in few places. Sampled places of the
 walks are LSH keys; repetitions raise the chance that a leak shares a key with
-its item beyond the target recall. Windows start at every place that can hold a
+its item beyond the target recall. An item has windows over its whole length. Windows start at every place that can hold a
 leak: an item of n words within d edits shares at least n - 2 - 3 d of its word
 trigrams with the text, so places with fewer benchmark trigrams ahead are left
 out, exactly. Pairs with a key in common are verified by edit distance.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import ascii_lower, text_of, words_of
 
 _U = np.uint64
-#: Windows are as long as the item, to the power of two below, and this at most.
+#: Windows are powers of two, at most half the item (where it has 16 words or more) and this.
 LONGEST = 32
 #: (item, distance, first word, end word)
 Leak = tuple[int, int, int, int]
@@ -90,8 +90,9 @@ class Benchmark:
     places: int
     grams: np.ndarray = field(init=False)
     own_grams: list[set[int]] = field(init=False)
-    #: For each class of items, by the length of its windows: (length, trigrams needed, reach, keys and items by sample).
-    tables: list[tuple[int, int, int, list[tuple[np.ndarray, np.ndarray]]]] = field(init=False)
+    #: For each class of items, by the length of its windows: (length, trigrams needed, reach, the last window's start,
+    #: edits, by sample: keys, items and starts of windows in them).
+    tables: list[tuple[int, int, int, int, int, list[tuple[np.ndarray, ...]]]] = field(init=False)
 
     def __post_init__(self) -> None:
         sizes = [len(w) for w in self.words]
@@ -102,16 +103,20 @@ class Benchmark:
         self.tables = []
         by_class: dict[int, list[int]] = {}
         for k, n in enumerate(sizes):
-            by_class.setdefault(min(LONGEST, 1 << (n.bit_length() - 1)), []).append(k)
+            by_class.setdefault(min(LONGEST, 1 << (n.bit_length() - (2 if n >= 16 else 1))), []).append(k)
         for length, own in sorted(by_class.items()):
-            padded = np.stack([self.words[k][:length] for k in own])
+            # Windows side by side and one at the end: edits that gather in a part of the item leave others whole.
+            cut = [(k, a) for k in own for a in sorted({*range(0, sizes[k] - length + 1, length), sizes[k] - length})]
+            padded = np.stack([self.words[k][a : a + length] for k, a in cut])
+            whose, starts = (np.array(x) for x in zip(*cut, strict=True))
             tables = []
-            for keys in self.keys(padded.ravel(), np.arange(len(own)) * length, length):
+            for keys in self.keys(padded.ravel(), np.arange(len(cut)) * length, length):
                 order = np.argsort(keys, kind="stable")
-                tables.append((keys[order], np.array(own)[order]))
+                tables.append((keys[order], whose[order], starts[order]))
             # An edit changes three trigrams, and may make a fourth repeat the one before it.
             needed = min(max(1, int((np.diff(grams[k]) != 0).sum()) + 1 - 4 * edits[k]) for k in own)
-            self.tables.append((length, needed, max(sizes[k] + edits[k] for k in own), tables))
+            reach, most = max(sizes[k] + edits[k] for k in own), max(edits[k] for k in own)
+            self.tables.append((length, needed, reach, int(starts.max()), most, tables))
 
     @staticmethod
     def rolled(words: np.ndarray) -> np.ndarray:
@@ -177,15 +182,22 @@ class Benchmark:
         order = np.argsort(places, kind="stable")
         places, grams = places[order], grams[order]
         found: set[tuple[int, int, int]] = set()
-        for length, needed, reach, tables in self.tables:
+        for length, needed, reach, furthest, edits, tables in self.tables:
             ahead = total[np.minimum(np.arange(len(words)) + reach, len(words))] - total[:-1]
-            own = np.flatnonzero(ahead >= needed)
+            # A window lies as far beyond the leak's start as in the item, by the edits more or less.
+            starts = np.concatenate([[0], np.cumsum(ahead >= needed)])
+            every = np.arange(len(words))
+            own = np.flatnonzero(
+                starts[np.minimum(every + edits + 1, len(words))] > starts[np.maximum(every - furthest - edits, 0)]
+            )
             own_row = np.searchsorted(ends, own, "right") - 1
             for keys, table in zip(self.keys(words, own, length), tables, strict=True):
-                sorted_keys, items = table
+                sorted_keys, items, offsets = table
                 a, b = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
                 for i in np.flatnonzero(b > a).tolist():
-                    found.update((int(own_row[i]), int(k), int(own[i])) for k in items[a[i] : b[i]])
+                    r, at = int(own_row[i]), int(own[i])
+                    pairs = zip(items[a[i] : b[i]].tolist(), offsets[a[i] : b[i]].tolist(), strict=True)
+                    found.update((r, k, at - off) for k, off in pairs)
         best: dict[tuple[int, int], Leak] = {}
         done: dict[tuple[int, int], int] = {}
         for r, k, start in sorted(found):
@@ -194,7 +206,9 @@ class Benchmark:
             known = best.get((r, k))
             if (known and known[1] == 0) or start < done.get((r, k), -1):
                 continue
-            first, last = max(int(ends[r]), start - most), min(int(ends[r + 1]), start + len(item) + 2 * most)
+            first, last = max(int(ends[r]), start - most), min(int(ends[r + 1]), start + len(item) + 2 * most + most // 2)
+            if last <= first:
+                continue
             done[r, k] = start + most // 2 + 1  # the next few starts look at the same words
             a, b = np.searchsorted(places, [first, last]).tolist()
             shared = len(self.own_grams[k].intersection(grams[a:b].tolist()))

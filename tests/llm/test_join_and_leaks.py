@@ -111,6 +111,22 @@ def test_recall_of_edited_passages():
     assert sum(map(len, found)) <= 60
 
 
+@pytest.mark.parametrize("kind", ["substitute", "insert", "delete"])
+@pytest.mark.parametrize("place", [0.0, 0.5, 1.0])
+def test_recall_of_gathered_edits(kind, place):
+    draw, rng = random.Random(8), np.random.default_rng(8)
+    items = [rng.integers(1, 2**62, n).astype(np.uint64) for n in [16, 25, 31, 40, 55, 60, 63, 64, 100, 300] * 4]
+    bench, docs = Benchmark(list(range(40)), items, 0.2, 4, 10, 5), []
+    for item in items:
+        most, words = allowed_edits(len(item), 0.2), item.tolist()
+        at = int(place * (len(item) - most))
+        new = [] if kind == "delete" else [draw.getrandbits(61) for _ in range(most)]
+        words[at : at + (0 if kind == "insert" else most)] = new
+        docs.append(rng.integers(1, 2**62, 80).tolist() + words + rng.integers(1, 2**62, 80).tolist())
+    found = bench.search(pa.array(docs, pa.list_(pa.int64())))
+    assert sum([leak[0] for leak in own] == [k] for k, own in enumerate(found)) >= 39
+
+
 def test_leaks(make, odd, prose, spark):
     items = prose(6, 9, words=30)
     table = spark.createDataFrame([(k, t) for k, t in enumerate(items)] + [(6, None), (7, ""), (8, "two words")], "item_id long, text string")
