@@ -167,33 +167,55 @@ def price(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), pattern
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """matrix @ vector by its few columns that count, without the threads of a linear algebra library."""
+    used = np.flatnonzero(vector)
+    return (matrix[:, used] * vector[used]).sum(1)
+
+
+def _inverse(columns: np.ndarray) -> np.ndarray:
+    """By elimination with the largest pivot of each column."""
+    n = len(columns)
+    work = np.concatenate([columns, np.eye(n)], 1)
+    for k in range(n):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        rest = np.flatnonzero(work[:, k])
+        rest = rest[rest != k]
+        work[rest] -= work[rest, k][:, None] * work[k]
+    return work[:, n:]
+
+
 def solve_patterns(
     sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, gap: float = 1e-3
 ) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (a column each) and their fractional numbers of uses, by the revised simplex method.
 
     sizes ascend. ``rounds`` bounds the number of columns priced; stopping early
-    costs padding, never a piece.
+    costs padding, never a piece. Plain array arithmetic throughout: the driver's
+    plan takes as long whatever the machine's number of threads.
     """
     columns = np.diag(capacity // sizes).astype(float)
     inverse = np.diag(1.0 / np.diag(columns))
-    uses = inverse @ demand
+    uses = demand / np.diag(columns)
     for step in range(rounds):
         worth, pattern = price(inverse.sum(0), sizes, capacity)
         if worth <= 1 + gap:  # the bound of the program is the present value over worth
             break
-        change = inverse @ pattern
+        change = _times(inverse, pattern)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratios = np.where(change > 1e-9, uses / change, np.inf)
         out = int(ratios.argmin())
         columns[:, out] = pattern
         if step % 200 == 199:  # keeps rounding errors from adding up
-            inverse = np.linalg.inv(columns)
+            inverse = _inverse(columns)
         else:
             row = inverse[out] / change[out]
-            inverse -= np.outer(change, row)
+            rest = np.flatnonzero(change)
+            inverse[rest] -= change[rest, None] * row
             inverse[out] = row
-        uses = np.maximum(inverse @ demand, 0)
+        uses = np.maximum(_times(inverse, demand), 0)
     return columns, uses
 
 
@@ -205,7 +227,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int, rounds: int = 1500)
     demand = np.array([histogram[s] for s in sizes.tolist()], float)
     columns, uses = solve_patterns(sizes, demand, capacity, rounds)
     whole = np.floor(uses + 1e-9)
-    left = (demand - columns @ whole).round().astype(int)
+    left = (demand - _times(columns, whole)).round().astype(int)
     while (left < 0).any():  # rounding may have used a pattern once too often
         over = int(np.flatnonzero((columns[int((left < 0).argmax())] > 0) & (whole > 0))[0])
         whole[over] -= 1
