@@ -15,8 +15,9 @@ are searched where they lie, without a shuffle.
 
 Defined cases: null or empty texts hold no leak, null or empty items match
 nothing; an item of fewer than three words must occur as it is; repeated rows
-are searched alike; without documents or items there are no rows; columns other
-than ids and texts are not read, and ``decontaminate`` leaves them as they are.
+are searched alike; without documents or items there are no rows; ids may be of
+any type that text can hold; columns other than ids and texts are not read, and
+``decontaminate`` leaves them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from granary.llm.common import ascii_lower, text_of, words_of
 _U = np.uint64
 #: Windows are powers of two, at most half the item (where it has 16 words or more) and this.
 LONGEST = 32
-#: (item, distance, first word, end word)
-Leak = tuple[int, int, int, int]
+#: (item's id as text, distance, first word, end word)
+Leak = tuple[str, int, int, int]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -82,7 +83,7 @@ def best_match(item: list[int], text: list[int], most: int) -> tuple[int, int] |
 class Benchmark:
     """Items and their LSH tables."""
 
-    ids: list[int]
+    ids: list[str]
     words: list[np.ndarray]
     share: float
     walks: int
@@ -90,13 +91,14 @@ class Benchmark:
     places: int
     grams: np.ndarray = field(init=False)
     own_grams: list[set[int]] = field(init=False)
+    edits: list[int] = field(init=False)
     #: For each class of items, by the length of its windows: (length, trigrams needed, reach, the last window's start,
     #: edits, by sample: keys, items and starts of windows in them).
     tables: list[tuple[int, int, int, int, int, list[tuple[np.ndarray, ...]]]] = field(init=False)
 
     def __post_init__(self) -> None:
         sizes = [len(w) for w in self.words]
-        edits = [allowed_edits(n, self.share) for n in sizes]
+        edits = self.edits = [allowed_edits(n, self.share) for n in sizes]
         grams = [self.rolled(w) for w in self.words]
         self.grams = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
         self.own_grams = [set(g.tolist()) for g in grams]
@@ -129,8 +131,11 @@ class Benchmark:
             return _mix(out + _U(n))
 
     def keys(self, words: np.ndarray, starts: np.ndarray, length: int) -> Iterator[np.ndarray]:
-        """LSH keys of the windows at starts, an array for each walk and sample."""
-        steps = 3 * length
+        """LSH keys of the windows at starts, an array for each walk and sample.
+
+        A walk takes two steps a word on average; places beyond so many mostly hold nothing, which all windows share.
+        """
+        steps = 2 * length
         draw = np.random.default_rng(length)
         for walk in range(self.walks):
             at = np.zeros(len(starts), np.int64)
@@ -181,7 +186,7 @@ class Benchmark:
         places, grams = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(places, kind="stable")
         places, grams = places[order], grams[order]
-        found: set[tuple[int, int, int]] = set()
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for length, needed, reach, furthest, edits, tables in self.tables:
             ahead = total[np.minimum(np.arange(len(words)) + reach, len(words))] - total[:-1]
             # A window lies as far beyond the leak's start as in the item, by the edits more or less.
@@ -194,26 +199,35 @@ class Benchmark:
             for keys, table in zip(self.keys(words, own, length), tables, strict=True):
                 sorted_keys, items, offsets = table
                 a, b = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
-                for i in np.flatnonzero(b > a).tolist():
-                    r, at = int(own_row[i]), int(own[i])
-                    pairs = zip(items[a[i] : b[i]].tolist(), offsets[a[i] : b[i]].tolist(), strict=True)
-                    found.update((r, k, at - off) for k, off in pairs)
+                some = np.flatnonzero(b > a)
+                times = (b - a)[some]
+                at = np.repeat(a[some] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                found.append((np.repeat(own_row[some], times), items[at], np.repeat(own[some], times) - offsets[at]))
+        if not found:
+            return out
+        rows_, items_, starts_ = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((starts_, items_, rows_))
+        rows_, items_, starts_ = rows_[order], items_[order], starts_[order]
+        new = np.r_[True, (np.diff(rows_) != 0) | (np.diff(items_) != 0) | (np.diff(starts_) != 0)][: len(order)]
+        rows_, items_, starts_ = rows_[new], items_[new], starts_[new]
+        # Stretches of text that can hold the item, and only those with as many benchmark trigrams as it needs.
+        most_ = np.array(self.edits)[items_]
+        firsts = np.maximum(ends[rows_], starts_ - most_)
+        lasts = np.minimum(ends[rows_ + 1], starts_ + np.array([len(w) for w in self.words])[items_] + 2 * most_ + most_ // 2)
+        need_ = np.maximum(1, np.array([len(g) for g in self.own_grams])[items_] - 3 * most_)
+        from_, to = np.searchsorted(places, firsts), np.searchsorted(places, lasts)
+        enough = np.flatnonzero((lasts > firsts) & (to - from_ >= need_))
         best: dict[tuple[int, int], Leak] = {}
         done: dict[tuple[int, int], int] = {}
-        for r, k, start in sorted(found):
-            item = self.words[k].tolist()
-            most = allowed_edits(len(item), self.share)
+        columns = (rows_, items_, starts_, most_, firsts, lasts, need_, from_, to)
+        for r, k, start, most, first, last, need, i, j in zip(*(c[enough].tolist() for c in columns), strict=True):
             known = best.get((r, k))
             if (known and known[1] == 0) or start < done.get((r, k), -1):
                 continue
-            first, last = max(int(ends[r]), start - most), min(int(ends[r + 1]), start + len(item) + 2 * most + most // 2)
-            if last <= first:
-                continue
             done[r, k] = start + most // 2 + 1  # the next few starts look at the same words
-            a, b = np.searchsorted(places, [first, last]).tolist()
-            shared = len(self.own_grams[k].intersection(grams[a:b].tolist()))
-            if shared < max(1, len(self.own_grams[k]) - 3 * most):
+            if len(self.own_grams[k].intersection(grams[i:j].tolist())) < need:
                 continue
+            item = self.words[k].tolist()
             match = best_match(item, words[first:last].tolist(), most)
             if match and (not known or match[0] < known[1]):
                 distance, end = match
@@ -234,7 +248,7 @@ def benchmark_blocks(
     items: DataFrame, id_column: str, text_column: str, block_words: int, **settings: float
 ) -> Iterator[Benchmark]:
     """The items in blocks whose words number at most block_words, so that what is broadcast is bounded."""
-    sized = items.select(F.col(id_column).alias("id"), word_hashes(text_of(text_column)).alias("h")).filter(
+    sized = items.select(F.col(id_column).cast("string").alias("id"), word_hashes(text_of(text_column)).alias("h")).filter(
         F.col("id").isNotNull() & (F.size("h") > 0)
     )
     total = sized.agg(F.sum(F.size("h")).alias("n")).first()["n"] or 0
@@ -264,7 +278,7 @@ def find_leaks(
     source = docs.select(F.col(id_column).alias("doc_id"), word_hashes(text_of(text_column)).alias("h"))
     kind = source.schema["doc_id"].dataType.simpleString()
     item_kind = items.schema[item_id_column].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id {item_kind}, distance int, first_word long, end_word long"
+    schema = f"doc_id {kind}, item_id string, distance int, first_word long, end_word long"
     settings = {"share": share, "walks": walks, "samples": samples, "places": places}
 
     def searched(benchmark: Benchmark) -> DataFrame:
@@ -275,15 +289,16 @@ def find_leaks(
                 leaks = held.value.search(batch.column(1))
                 at = [k for k, own in enumerate(leaks) for _ in own]
                 columns = list(zip(*(x for own in leaks for x in own), strict=True)) or [[]] * 4
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
                 names = ["doc_id", "item_id", "distance", "first_word", "end_word"]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *arrays], names)
 
-        return source.mapInArrow(run, schema)
+        return source.mapInArrow(run, schema).withColumn("item_id", F.col("item_id").cast(item_kind))
 
     found = [searched(b) for b in benchmark_blocks(items, item_id_column, item_text_column, block_words, **settings)]
-    return functools.reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+    none = f"doc_id {kind}, item_id {item_kind}, distance int, first_word long, end_word long"
+    return functools.reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], none)
 
 
 def decontaminate(
@@ -301,14 +316,17 @@ def decontaminate(
 ) -> DataFrame:
     """docs without the rows that hold a leak."""
     names = docs.columns
+    own = "_h"
+    while own in map(str.lower, names):
+        own += "_"
     settings = {"share": share, "walks": walks, "samples": samples, "places": places}
     for benchmark in benchmark_blocks(items, item_id_column, item_text_column, block_words, **settings):
         held = docs.sparkSession.sparkContext.broadcast(benchmark)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
-                clean = [k for k, own in enumerate(held.value.search(batch.column(len(names)))) if not own]
+                clean = [k for k, leaks in enumerate(held.value.search(batch.column(len(names)))) if not leaks]
                 yield batch.select(names).take(pa.array(clean, pa.int64()))
 
-        docs = docs.withColumn("_word_hashes", word_hashes(text_of(text_column))).mapInArrow(run, docs.schema)
+        docs = docs.withColumn(own, word_hashes(text_of(text_column))).mapInArrow(run, docs.schema)
     return docs

@@ -139,3 +139,12 @@ def test_leaks(make, odd, prose, spark):
     assert kept.columns == make(docs).columns
     assert find_leaks(make(docs), table.limit(0)).count() == 0 and find_leaks(make({}), table).count() == 0
     assert {(r.doc_id, r.item_id) for r in find_leaks(make(docs), table, block_words=60).collect()} == set(got)
+
+
+def test_leaks_with_other_ids_and_clashing_columns(make, prose, spark):
+    items = prose(2, 9, words=30)
+    table = spark.createDataFrame([("a", items[0]), ("a", items[0]), ("b", items[1])], "item_id string, text string")
+    docs = make([(1, items[0]), (1, items[0]), (2, "x " * 20_000 + items[1])]).selectExpr("doc_id", "text", "1 AS _word_hashes", "2 AS _h", "3 AS `_H_`")
+    assert sorted((r.doc_id, r.item_id) for r in find_leaks(docs, table).collect()) == [(1, "a"), (1, "a"), (2, "b")]
+    kept = decontaminate(docs, table.filter("item_id = 'a'"))
+    assert kept.columns == docs.columns and [r[:1] + r[2:] for r in map(tuple, kept.collect())] == [(2, 1, 2, 3)]
