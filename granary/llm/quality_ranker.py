@@ -83,9 +83,9 @@ def fit_ranker(x: np.ndarray, good: np.ndarray, *, pairs_each: int = 8, ridge: f
     d = z[better[(rounds + turn * 7) % len(better)]] - z[worse[(rounds + turn * 13) % len(worse)]]
     w = np.zeros(k)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # chance that the worse one wins
-        slope = d.T @ p / len(d) - ridge * w
-        bend = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(k)
+        p = 1 / (1 + np.exp(np.clip(np.einsum("ij,j->i", d, w), -30, 30)))  # chance that the worse one wins
+        slope = np.einsum("ij,i->j", d, p) / len(d) - ridge * w
+        bend = np.einsum("ij,i,ik->jk", d, p * (1 - p), d) / len(d) + ridge * np.eye(k)
         step = np.linalg.solve(bend, slope)
         w = w + step
         if np.abs(step).max() < 1e-8:
