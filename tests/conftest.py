@@ -1,6 +1,9 @@
+import os
 import sys
 from pathlib import Path
 
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # before numpy is loaded
+
 import pytest
 from pyspark.sql import SparkSession
 
