@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import atexit
 import functools
+import re
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space between words: the space and the controls from tab to return.
 SPACE = " \t\n\x0b\x0c\r"
@@ -46,10 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set, as in tests."""
+    """The folder that driver and executors share; where none is set, a temporary one on a single machine only."""
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {key} to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="granary-")
         spark.conf.set(key, found)
     return found.rstrip("/")
@@ -64,13 +69,41 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def _stored(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    atexit.register(_remove, spark, path)
+    df = spark.read.schema(schema).parquet(path)
+    _paths[df] = path
+    return df
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back, which cuts the lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/granary/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/granary/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df.sparkSession, df.schema, path)
+
+
+def materialize_parts(df: DataFrame, label: str, flag: Column) -> tuple[DataFrame, DataFrame]:
+    """Writes df in one pass as two tables: the rows where flag is true, and the others."""
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/granary/{label}-{uuid.uuid4().hex}"
+    df.withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("int")).write.partitionBy("_flag").parquet(path)
+    parts = []
+    for value in (1, 0):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_flag={value}")
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)  # where no row is of the kind
+        parts.append(_stored(spark, df.schema, f"{path}/_flag={value}"))
+    return parts[0], parts[1]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes materialized tables that nothing reads any more."""
+    for df in tables:
+        path = _paths.pop(df, None)
+        if path:
+            _remove(df.sparkSession, path)
 
 
 def text_of(column: str = "text") -> Column:
