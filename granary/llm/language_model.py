@@ -5,7 +5,9 @@ vocabulary with its output classes, and the starting biases. The model is a GRU
 whose softmax is factored into a class and a word within it. It is trained by
 truncated backpropagation in numpy over every training document: each round has
 its share of them, trainers each take some of its rows and carry the state from
-window to window, and their parameters are averaged after the round. Scoring
+window to window, and their parameters are averaged after the round. The number
+of trainers follows the number of tokens alone, so that scores do not depend on
+how many partitions a session uses. Scoring
 carries the state through whole documents. Words outside the vocabulary count as one symbol of the model times their share
 among such words by counts.
 
@@ -23,11 +25,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +43,10 @@ END = b""
 BLOCK = 1024
 
 
-def tokens_of(text: str | None) -> list[bytes]:
+def tokens_of(text: str | bytes | None) -> list[bytes]:
     """Lower-case words and the end token; bytes lower only A-Z and split only at the six ASCII spaces."""
-    return [*(text or "").encode("utf-8", "replace").lower().split(), END]
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
+    return [*raw.lower().split(), END]
 
 
 def count_words(texts: DataFrame, most: int = 400_000) -> DataFrame:
@@ -56,7 +61,7 @@ def count_words(texts: DataFrame, most: int = 400_000) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column(0):
+            for text in batch.column(0).cast(pa.binary()):
                 held.update(tokens_of(text.as_py()))
             if len(held) > most:
                 yield counted()
@@ -67,8 +72,46 @@ def count_words(texts: DataFrame, most: int = 400_000) -> DataFrame:
     return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int, steps: int = 16) -> DataFrame:
+    """Rows of counts (word, c) with the largest c, and the end token: nearly ``most`` of them, never more but for it.
+
+    A histogram of log c, a few hundred rows, tells the least count; no task or driver sorts all words.
+    """
+    level = F.floor(F.log2("c") * steps)
+    sizes = {r["level"]: r["n"] for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
+    room, least = most, max(sizes, default=0) + 1
+    for k in sorted(sizes, reverse=True):
+        if sizes[k] > room:
+            break
+        room, least = room - sizes[k], k
+    return counts.filter((level >= least) | (F.col("word") == ""))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray, small: bool, grads: bool) -> np.ndarray:
+    """Natural log softmax of each row of x at one place; x becomes the mean loss's gradient if wanted, else scratch.
+
+    small says that no value of x can leave the range of exp.
+    """
+    here = np.arange(len(x))
+    if not small:
+        x -= x.max(1, keepdims=True)
+    out = x[here, at]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    out -= np.log(total)
+    if grads:
+        x *= (1 / (total * len(x)))[:, None]
+        x[here, at] -= 1 / len(x)
+    return out
 
 
 @dataclass
@@ -98,54 +141,42 @@ class Model:
         }
         return cls(p, hidden, width)
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        n = self.hidden
-        gx, gh = self.p["input"][x] + self.p["bias"], h @ self.p["state"]
-        both = _sigmoid(gx[:, : 2 * n] + gh[:, : 2 * n])
-        z, r = both[:, :n], both[:, n:]
-        new = np.tanh(gx[:, 2 * n :] + r * gh[:, 2 * n :])
-        return new + z * (h - new), z, r, new, gh[:, 2 * n :]
-
     def log_probabilities(self, h: np.ndarray, y: np.ndarray, grads: dict | None = None) -> np.ndarray | tuple:
-        """Natural log probability of words y after states h; with grads, adds gradients and returns those of h too."""
-        p, m = self.p, len(y)
-        logits = h @ p["class_w"] + p["class_b"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1, keepdims=True)
+        """Natural log probability of words y after states h; with grads (zeros), fills gradients and returns those of h too."""
+        p, m, learn = self.p, len(y), grads is not None
         cls, at = np.divmod(y, self.width)
-        out = logits[np.arange(m), cls] - np.log(total[:, 0])
-        dh = None
-        if grads is not None:
-            d = e / total
-            d[np.arange(m), cls] -= 1
-            d /= m
-            grads["class_w"] += h.T @ d
-            grads["class_b"] += d.sum(0)
-            dh = d @ p["class_w"].T
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(len(p["word_b"]) + 1)).tolist()
-        used = [(c, edges[c], edges[c + 1]) for c in range(len(p["word_b"])) if edges[c] < edges[c + 1]]
-        hs, here, goal = h[order], np.arange(m), at[order]
-        own = np.empty((m, self.width), np.result_type(h, p["word_w"]))
+        # States lie between -1 and 1, so weights bound what is exponentiated.
+        far = max(
+            float((np.abs(p["class_w"]).sum(0) + np.abs(p["class_b"])).max()),
+            float((np.abs(p["word_w"]).sum(1) + np.abs(p["word_b"])).max()),
+        )
+        small = far < 40 and float(np.abs(h).max(initial=0)) <= 1
+        d = h @ p["class_w"]
+        d += p["class_b"]
+        out = _log_softmax_at(d, cls, small, learn)
+        # Words by class: those of one class share their weights.
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        classes = cls[order]
+        first = np.flatnonzero(np.r_[True, classes[1:] != classes[:-1]][:m])
+        used = list(zip(classes[first].tolist(), first.tolist(), [*first[1:].tolist(), m], strict=True))
+        hs = h[order]
+        own = np.take(p["word_b"], classes, 0)
         for c, i, j in used:
-            np.matmul(hs[i:j], p["word_w"][c], out=own[i:j])
-        own += p["word_b"][cls[order]]
-        own -= own.max(1, keepdims=True)
-        e = np.exp(own)
-        total = e.sum(1, keepdims=True)
-        out[order] += own[here, goal] - np.log(total[:, 0])
-        if grads is not None:
-            d = e / total
-            d[here, goal] -= 1
-            d /= m
-            back = np.empty_like(hs)
-            for c, i, j in used:
-                grads["word_w"][c] += hs[i:j].T @ d[i:j]
-                grads["word_b"][c] += d[i:j].sum(0)
-                np.matmul(d[i:j], p["word_w"][c].T, out=back[i:j])
-            dh[order] += back
-        return out if grads is None else (out, dh)
+            own[i:j] += hs[i:j] @ p["word_w"][c]
+        out[order] += _log_softmax_at(own, at[order], small, learn)
+        if not learn:
+            return out
+        ones = np.ones(m, d.dtype)
+        np.matmul(h.T, d, out=grads["class_w"])
+        np.matmul(ones, d, out=grads["class_b"])
+        dh = d @ p["class_w"].T
+        back = np.empty_like(hs)
+        for c, i, j in used:
+            np.matmul(hs[i:j].T, own[i:j], out=grads["word_w"][c])
+            np.matmul(ones[i:j], own[i:j], out=grads["word_b"][c])
+            np.matmul(own[i:j], p["word_w"][c].T, out=back[i:j])
+        dh[order] += back
+        return out, dh
 
     def score(self, docs: list[np.ndarray], chunk: int = 1 << 16) -> np.ndarray:
         """Natural log-likelihood of each document (ids that end with the end token), state carried throughout."""
@@ -154,14 +185,24 @@ class Model:
         lengths = np.array([len(docs[k]) for k in order], np.int64)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         flat = np.concatenate([docs[k] for k in order]) if order else np.zeros(0, np.int64)
-        h = np.zeros((len(docs), self.hidden), np.float32)
+        n, given, state = self.hidden, self.p["input"] + self.p["bias"], np.ascontiguousarray(self.p["state"].T)
+        h = np.zeros((n, len(docs)), np.float32)  # a column for each document: gates are whole rows
         states, targets, owners, held = [], [], [], 0
         active, last = len(docs), flat[ends[1:] - 1] if order else flat
         for t in range(int(lengths[0]) if order else 0):
             active = int(np.searchsorted(-lengths[:active], -t, "left"))
             x = last[:active] if t == 0 else flat[ends[:active] + t - 1]
-            h = self.step(x, h[:active])[0]
-            states.append(h)
+            gx = np.ascontiguousarray(given[x].T)
+            h = h[:, :active]
+            gh = state @ h
+            gx[: 2 * n] += gh[: 2 * n]
+            both = _sigmoid(gx[: 2 * n])
+            new = both[n:] * gh[2 * n :]
+            new += gx[2 * n :]
+            np.tanh(new, out=new)
+            h = (h - new) * both[:n]
+            h += new
+            states.append(h.T)
             targets.append(flat[ends[:active] + t])
             owners.append(np.arange(active))
             held += active
@@ -174,7 +215,7 @@ class Model:
         return out
 
     def train(
-        self, docs: list[np.ndarray], *, rows: int = 48, window: int = 24, rate: float = 0.08, squares: dict | None = None
+        self, docs: list[np.ndarray], *, rows: int = 384, window: int = 16, rate: float = 0.1, squares: dict | None = None
     ) -> int:
         """One pass of truncated backpropagation over docs, ``rows`` streams side by side; the number of tokens.
 
@@ -184,7 +225,7 @@ class Model:
             return 0
         squares = {} if squares is None else squares
         for k, v in self.p.items():
-            squares.setdefault(k, np.full_like(v, 1e-4))
+            squares.setdefault(k, np.full_like(v, 1e-8))
         stream = np.concatenate(docs)
         rows = max(1, min(rows, len(stream) // window))
         steps, extra = divmod(len(stream), rows)  # the first streams are one token longer
@@ -202,38 +243,50 @@ class Model:
     def _learn(self, part: np.ndarray, x: np.ndarray, h: np.ndarray, end: int, rate: float, squares: dict) -> np.ndarray:
         """One update by the words of part after words x and states h; the states after it."""
         n, steps, rows = self.hidden, part.shape[1], part.shape[0]
+        kind = self.p["state"].dtype
         given = np.concatenate([x[:, None], part[:, :-1]], 1).T
-        going = (given != end).astype(np.float32)[:, :, None]  # a new document starts afresh
-        gxs = self.p["input"][given] + self.p["bias"]
+        going = (given != end).astype(kind)[:, None, :]  # a new document starts afresh
+        # A column for each row of part: gates are whole rows.
+        gxs = (self.p["input"][given] + self.p["bias"]).transpose(0, 2, 1).copy()
         state = self.p["state"]
-        befores, states = (np.empty((steps, rows, n), np.float32) for _ in range(2))
-        kept = []
+        turned = np.ascontiguousarray(state.T)
+        befores, states = (np.empty((steps, n, rows), kind) for _ in range(2))
+        kept, h = [], h.T
         for t in range(steps):
             before = np.multiply(h, going[t], out=befores[t])
-            gx, gh = gxs[t], before @ state
-            both = _sigmoid(gx[:, : 2 * n] + gh[:, : 2 * n])
-            z, r, gh = both[:, :n], both[:, n:], gh[:, 2 * n :]
-            new = np.tanh(gx[:, 2 * n :] + r * gh)
-            h = states[t] = new + z * (before - new)
+            gx, gh = gxs[t], turned @ before
+            gx[: 2 * n] += gh[: 2 * n]
+            both = _sigmoid(gx[: 2 * n])
+            z, r, gh = both[:n], both[n:], gh[2 * n :]
+            new = r * gh
+            new += gx[2 * n :]
+            np.tanh(new, out=new)
+            h = np.subtract(before, new, out=states[t])
+            h *= z
+            h += new
             kept.append((z, r, new, gh))
         grads = {k: np.zeros_like(v) for k, v in self.p.items() if k != "input"}
-        _, dhs = self.log_probabilities(states.reshape(-1, n), part.T.ravel(), grads)
-        dhs = dhs.reshape(steps, rows, n)
-        dh = np.zeros((rows, n), np.float32)
-        dx, dstate = (np.empty((steps, rows, 3 * n), np.float32) for _ in range(2))
+        _, dhs = self.log_probabilities(states.transpose(0, 2, 1).reshape(-1, n), part.T.ravel(), grads)
+        dhs = dhs.reshape(steps, rows, n).transpose(0, 2, 1).copy()
+        dh = np.zeros((n, rows), kind)
+        dx, dstate = (np.empty((steps, 3 * n, rows), kind) for _ in range(2))
         for t in reversed(range(steps)):
             z, r, new, gh = kept[t]
-            dh = dh + dhs[t]
-            dnew = dh * (1 - z) * (1 - new * new)
-            dx[t, :, :n] = dh * (befores[t] - new) * z * (1 - z)
-            dx[t, :, n : 2 * n] = dnew * gh * r * (1 - r)
-            dx[t, :, 2 * n :] = dnew
-            dstate[t, :, : 2 * n] = dx[t, :, : 2 * n]
-            dstate[t, :, 2 * n :] = dnew * r
-            dh = (dh * z + dstate[t] @ state.T) * going[t]
-        dx = dx.reshape(-1, 3 * n)
-        grads["bias"] += dx.sum(0)
-        grads["state"] += befores.reshape(-1, n).T @ dstate.reshape(-1, 3 * n)
+            dh += dhs[t]
+            rest = dh * (1 - z)
+            dnew = np.multiply(rest, 1 - new * new, out=dx[t, 2 * n :])
+            rest *= befores[t] - new
+            np.multiply(rest, z, out=dx[t, :n])
+            back = np.multiply(dnew, r, out=dstate[t, 2 * n :])
+            np.multiply(back * gh, 1 - r, out=dx[t, n : 2 * n])
+            dstate[t, : 2 * n] = dx[t, : 2 * n]
+            dh *= z
+            dh += state @ dstate[t]
+            dh *= going[t]
+        wide = lambda v: v.transpose(1, 0, 2).reshape(v.shape[1], -1)
+        grads["state"] = wide(befores) @ wide(dstate).T
+        dx = dx.transpose(0, 2, 1).reshape(-1, 3 * n)
+        grads["bias"] = dx.sum(0)
         for k, g in grads.items():
             np.clip(g, -1, 1, out=g)
             squares[k] += g * g
@@ -245,7 +298,7 @@ class Model:
         sums = squares["input"][words] + g * g
         squares["input"][words] = sums
         self.p["input"][words] -= rate * g / np.sqrt(sums)
-        return h
+        return h.T
 
     def blocks(self) -> np.ndarray:
         flat = np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
@@ -260,19 +313,31 @@ class Model:
 
 
 def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarray:
-    get = place.get
-    return np.fromiter((get(w, unknown) for w in tokens), np.int64, len(tokens))
+    return np.fromiter(map(place.get, tokens, repeat(unknown)), np.int64, len(tokens))
+
+
+def lots_of_texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of batches of at most so many rows and characters, or one row: what a task holds of them stays bounded."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
-def train_model(docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, part: int | None = None) -> Model:
-    """Averages trainers' parameters after each of ``rounds`` rounds over docs (doc_id, text).
+def train_model(
+    docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, trainers: int, part: int | None = None
+) -> Model:
+    """Averages ``trainers`` trainers' parameters after each of ``rounds`` rounds over docs (doc_id, text).
 
     Each document is learned from in one of the rounds; with part, only one document in part in each round.
     The round goes by content, so that none is missed if rows come in another order; trainers are dealt rows,
-    so that copies of a text do not meet at one.
+    so that copies of a text do not meet at one, and take them in the order of a hash.
     """
     spark = docs.sparkSession
-    trainers = int(spark.conf.get("spark.sql.shuffle.partitions"))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(part or rounds))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast((model, place))
@@ -281,8 +346,8 @@ def train_model(docs: DataFrame, model: Model, place: dict[bytes, int], *, round
             own, words = held.value
             own = own.with_blocks(own.blocks().copy())
             n, squares, unknown = 0, {}, words[None]
-            for batch in (b.slice(i, 2000) for b in batches for i in range(0, b.num_rows, 2000)):
-                n += own.train([_ids(tokens_of(t), words, unknown) for t in batch.column(0).to_pylist()], squares=squares)
+            for lot in lots_of_texts(batches, 0):
+                n += own.train([_ids(tokens_of(t), words, unknown) for t in lot.column(0).cast(pa.binary()).to_pylist()], squares=squares)
             if n:
                 rows = own.blocks().astype(np.float32)
                 values = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), BLOCK).cast(pa.list_(pa.float32()))
@@ -290,11 +355,13 @@ def train_model(docs: DataFrame, model: Model, place: dict[bytes, int], *, round
                 yield pa.RecordBatch.from_arrays([at, pa.array(np.full(len(rows), n)), values], ["at", "n", "v"])
 
         def average(group: pd.DataFrame) -> pd.DataFrame:
+            group = group.sort_values("n", kind="stable")
             mean = np.average(np.stack(group.v), axis=0, weights=group.n)
             return pd.DataFrame({"at": group["at"].iloc[:1], "v": [mean.astype(np.float32)]})
 
         row = F.xxhash64(F.monotonically_increasing_id(), F.lit(turn))
-        dealt = docs.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row").select("text")
+        dealt = docs.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row")
+        dealt = dealt.sortWithinPartitions("row").select("text")
         found = dealt.mapInArrow(run, "at int, n long, v array<float>").groupBy("at")
         rows = found.applyInPandas(average, "at int, v array<float>").toPandas()
         if len(rows):
@@ -314,11 +381,13 @@ def score_documents(
     width: int = 64,
     hidden: int = 16,
     rounds: int = 2,
+    trainer_tokens: int = 1_000_000,
     sample_part: int | None = None,
 ) -> DataFrame:
     """One row for each row of docs: held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
-    The model learns from every training document; with sample_part, from one in so many in each round.
+    The model learns from every training document; with sample_part, from one in so many in each round. A round
+    has a trainer for every trainer_tokens of its tokens, whatever the session's settings.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
@@ -327,7 +396,7 @@ def score_documents(
     counts = materialize(count_words(training.select("text")), "words")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, n_words = int(sums["n"]), int(sums["v"])
-    top = counts.orderBy(F.col("word") != "", F.desc("c"), "word").limit(known_words).toPandas()  # the end token first
+    top = most_frequent(counts, known_words).orderBy(F.col("word") != "", F.desc("c"), "word").toPandas()  # the end token first
     words = [w.encode() for w in top["word"]] or [END]
     c = top["c"].to_numpy(float) if len(top) else np.zeros(1)
     inside = min(vocabulary - 1, len(words))
@@ -337,7 +406,9 @@ def score_documents(
     place: dict[Any, int] = {(words[k] if k < inside else None): i for i, k in enumerate(ids.tolist())}
     padded = np.zeros(-(-(inside + 1) // width) * width)
     padded[: inside + 1] = np.r_[c[:inside], rest][ids]
-    model = train_model(training, Model.start(padded, hidden, width), place, rounds=rounds, part=sample_part)
+    trainers = max(1, round(n_train / (sample_part or rounds) / trainer_tokens))
+    start = Model.start(padded, hidden, width)
+    model = train_model(training, start, place, rounds=rounds, trainers=trainers, part=sample_part)
     log_c = np.log10(c + 1)
     rare_total = np.log10(rest + max(0, n_words - inside) + 1)
     held = spark.sparkContext.broadcast((model, place, {w: k for k, w in enumerate(words)}, log_c))
@@ -347,9 +418,9 @@ def score_documents(
         log_c = np.append(log_c, 0.0)
         unknown, far = place[None], len(known)
         in_model = np.array([place.get(w, unknown) for w in known] + [unknown])
-        for batch in batches:  # together, as a step costs much the same for one document as for a thousand
+        for batch in lots_of_texts(batches, 2, rows=8000, size=24_000_000):  # together, as a step costs much the same for one document as for a thousand
             docs, columns = [], [[], [], [], [], []]
-            for text in batch.column(2).to_pylist():
+            for text in batch.column(2).cast(pa.binary()).to_pylist():
                 tokens = tokens_of(text)
                 at = _ids(tokens, known, far)
                 ids = in_model[at]

@@ -135,6 +135,57 @@ def test_gradients():
         assert (loss[0] - loss[1]) / 2e-5 == pytest.approx(grads[name][at], rel=1e-4)
 
 
+def forward(p, n, part, x, h, end, model):
+    """Mean loss of part after words x and states h, by the plain equations."""
+    total = 0.0
+    for t in range(part.shape[1]):
+        h = h * (x != end)[:, None]
+        gx, gh = p["input"][x] + p["bias"], h @ p["state"]
+        z, r = (1 / (1 + np.exp(-(gx[:, k : k + n] + gh[:, k : k + n]))) for k in (0, n))
+        new = np.tanh(gx[:, 2 * n :] + r * gh[:, 2 * n :])
+        h = (1 - z) * new + z * h
+        total -= model.log_probabilities(h, part[:, t]).sum()
+        x = part[:, t]
+    return total / part.size
+
+
+def test_gradients_through_time():
+    draw, n = np.random.default_rng(1), 3
+    model = Model.start(np.ones(16), n, 4)
+    model.p = {k: draw.normal(0, 0.5, v.shape) for k, v in model.p.items()}
+    part, x, h, end = draw.integers(0, 16, (5, 7)), draw.integers(0, 16, 5), np.tanh(draw.normal(size=(5, n))), 3
+    part[0, 2] = part[3, 4] = end
+    before = {k: v.copy() for k, v in model.p.items()}
+    # Where the squares so far are huge, a parameter's change is its gradient, scaled.
+    model._learn(part, x, h, end, 1.0, {k: np.full_like(v, 1e8) for k, v in model.p.items()})
+    grads = {k: (before[k] - model.p[k]) * 1e4 for k in before}
+    model.p = before
+    for name in ("input", "state", "bias", "class_w", "word_w"):
+        for at in zip(*np.unravel_index(np.argsort(-np.abs(grads[name]), axis=None)[:6], grads[name].shape)):
+            loss = []
+            for step in (1e-5, -2e-5):
+                before[name][at] += step
+                loss.append(forward(before, n, part, x, h, end, model))
+            before[name][at] += 1e-5
+            assert (loss[0] - loss[1]) / 2e-5 == pytest.approx(grads[name][at], rel=1e-4)
+
+
+def test_scores_do_not_hang_on_partitions_and_beat_the_base(make, spark):
+    draw = np.random.default_rng(2)
+    chain = [f"w{k}" for k in draw.permutation(50)]  # each word mostly tells the next
+    texts = {k: " ".join(chain[(s + i) % 50] if draw.random() < 0.9 else chain[draw.integers(50)] for i in range(120)) for k, s in enumerate(draw.integers(0, 50, 300))}
+    runs, was = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("4", "9"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            runs.append({r.doc_id: r for r in score_documents(make(texts), trainer_tokens=8000).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert all(runs[0][k].score == runs[1][k].score for k in texts)
+    held = [r for r in runs[0].values() if r.held_out]
+    assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
+
+
 def test_model_is_a_distribution_and_learns():
     model, every = Model.start(np.ones(16), 4, 4), np.arange(16)
     assert np.exp(model.log_probabilities(np.zeros((16, 4), np.float32), every)).sum() == pytest.approx(1, abs=1e-5)
@@ -160,7 +211,7 @@ def test_every_training_document_is_learned_from(make):
     texts = [(k, f"w{k} w{k}") for k in range(40)] + [(None, "w0 w0")] * 3 + [(7, "w1 w1")] * 10
     model = Model.start(np.ones(64), 4, 8)
     place = {w: k for k, w in enumerate(words)} | {None: 41}
-    learned = train_model(make(texts).select("doc_id", "text"), model, place, rounds=2)
+    learned = train_model(make(texts).select("doc_id", "text"), model, place, rounds=2, trainers=3)
     moved = np.abs(learned.p["input"] - model.p["input"]).max(1) > 0
     assert moved[:41].all() and not moved[41:].any()
 
