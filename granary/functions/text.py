@@ -2,23 +2,45 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SEPARATOR = " | "
-#: Accented Latin letters and their plain forms.
-ACCENTED = "àáâãäåāçćčèéêëēėęìíîïīñńòóôõöøōùúûüūýÿžźżšśß"
-PLAIN = "aaaaaaaccceeeeeeeiiiiinnooooooouuuuuyyzzzsss"
+_SPACE = " \t\n\x0b\x0c\r"
+
+
+@functools.cache
+def _folding() -> tuple[str, str]:
+    """Letters, and what canonical decomposition leaves of them without marks; then the marks, which have no counterpart."""
+    letters, plain, marks = [], [], []
+    for k in (*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)):
+        c = chr(k)
+        if unicodedata.category(c) == "Mn":
+            marks.append(c)
+        elif unicodedata.decomposition(c):
+            bases = [x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn"]
+            if len(bases) == 1 and bases != [c]:
+                letters.append(c)
+                plain += bases
+    return "".join(letters + marks), "".join(plain)
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents, ligatures spelled out, typographic apostrophes made plain."""
-    out = F.lower(text)
+    """Lower case without outer space and accents (decomposed, marks dropped), ligatures spelled out, plain apostrophes.
+
+    Letters that do not decompose, such as a sharp s or a barred o, stay.
+    """
+    out = F.btrim(F.lower(text), F.lit(_SPACE))
+    ascii_only = F.octet_length(out) == F.char_length(out)
+    other = out
     for a, b in (("œ", "oe"), ("æ", "ae"), ("’", "'")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.translate(out, ACCENTED, PLAIN)
+        other = F.replace(other, F.lit(a), F.lit(b))
+    return F.when(ascii_only, out).otherwise(F.translate(other, *_folding()))
 
 
 def trim_punctuation(text: Column) -> Column:
@@ -34,7 +56,7 @@ def contains_any(text: Column, terms: list[str], bounded: tuple[str, ...] | bool
 
 
 def first_year(text: Column, latest: str = "2[01]") -> Column:
-    """The first year from 1000 to 2199 that stands by itself, as an integer."""
+    """The first year from 1000 to 2199 that stands by itself, as an integer. The pattern is a fixed value."""
     return F.regexp_extract(text, rf"\b(1[0-9]{{3}}|{latest}[0-9]{{2}})\b", 1).try_cast("int")
 
 
@@ -82,3 +104,27 @@ def with_thousands(number: Column) -> Column:
 def to_number(text: Column) -> Column:
     """A double, or null for what is no number; a decimal comma is read too."""
     return F.replace(F.trim(text), F.lit(","), F.lit(".")).try_cast("double")
+
+
+#: Fixed value: the characters that a search engine's query syntax keeps for itself.
+_RESERVED = r"""([+\-!(){}\[\]^"~*?:\\/])"""
+
+
+def escaped_term(text: Column) -> Column:
+    """A term with a backslash before each character that search queries reserve."""
+    return F.regexp_replace(text, _RESERVED, r"\\$1")
+
+
+def escaped_literal(text: Column) -> Column:
+    """A text as the inside of a quoted literal of a graph query."""
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+
+
+def local_iso_time(instant: Column, zone: str = "Europe/Paris") -> Column:
+    """An instant as ISO text of a zone's clock, with its offset in whole minutes."""
+    universal = F.to_utc_timestamp(instant, F.current_timezone())
+    there = F.from_utc_timestamp(universal, zone)
+    minutes = ((F.unix_timestamp(there) - F.unix_timestamp(universal)) / 60).cast("int")
+    sign = F.when(minutes < 0, "-").otherwise("+")
+    offset = F.format_string("%s%02d:%02d", sign, F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60)
+    return F.concat(F.date_format(there, "yyyy-MM-dd'T'HH:mm:ss"), offset)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators.statistics import standardized
@@ -70,7 +70,8 @@ def ward_clusters(points: np.ndarray, distance: float) -> list[int]:
 
 
 def normalized(df: DataFrame, *columns: str) -> DataFrame:
-    """(x - least) / (greatest - least); null where all are equal."""
-    every = Window.partitionBy()
-    low, high = (lambda c: F.min(c).over(every)), (lambda c: F.max(c).over(every))
-    return df.withColumns({c: (F.col(c) - low(c)) / F.nullif(high(c) - low(c), F.lit(0.0)) for c in columns})
+    """(x - least) / (greatest - least); null where all are equal. The one row of extremes is a subquery."""
+    ends = df.agg(*(F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns))
+    out = df.withColumn("_r", ends.select(F.struct(*columns).alias("r")).scalar())
+    low, high = (lambda c: F.col(f"_r.{c}.low")), (lambda c: F.col(f"_r.{c}.high"))
+    return out.withColumns({c: (F.col(c) - low(c)) / F.nullif(high(c) - low(c), F.lit(0.0)) for c in columns}).drop("_r")

@@ -33,18 +33,19 @@ def wide_values(df: DataFrame, id_column: str, kind: str, value: str, kinds: lis
 def place_closure(parents: DataFrame, root: int, depth: int = 60) -> DataFrame:
     """(place) for root and everything below it in (place, parent), by repeated joins until nothing is new.
 
-    The frontier alone is joined in each round.
+    The frontier alone is joined in each round, and kept so that the rounds before are not run again. A hierarchy
+    of more than ``depth`` levels raises an error.
     """
     frontier = parents.sparkSession.createDataFrame([(root,)], "place long")
     found = frontier
     for _ in range(depth):
         above = frontier.withColumnRenamed("place", "parent")
         below = parents.join(above, "parent", "left_semi").select("place").distinct()
-        frontier = below.join(found, "place", "left_anti")
+        frontier = below.join(found, "place", "left_anti").persist()
         if frontier.isEmpty():
-            break
+            return found
         found = found.unionByName(frontier)
-    return found
+    raise RuntimeError(f"more than {depth} levels below {root}")
 
 
 def record_class(search: Column, reasons: Column) -> Column:

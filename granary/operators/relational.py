@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def scaled(df: DataFrame, factor: float, *columns: str) -> DataFrame:
@@ -112,3 +113,63 @@ def compared_snapshots(old: DataFrame, new: DataFrame, key: str, version: str) -
 def upserted(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """existing with the rows of new in place of those with the same keys."""
     return existing.join(new, keys, "left_anti").unionByName(new)
+
+
+def renamed(df: DataFrame, variants: dict[str, str]) -> DataFrame:
+    """Columns under their canonical names; where several spellings of one are there, the first value that is known."""
+    out: dict[str, list[Column]] = {}
+    for c in df.columns:
+        out.setdefault(variants.get(c, c), []).append(F.col(f"`{c}`"))
+    own_first = lambda name, cols: sorted(cols, key=lambda c: str(c) != str(F.col(f"`{name}`")))
+    return df.select(*(F.coalesce(*own_first(name, cols)).alias(name) for name, cols in out.items()))
+
+
+def harmonized(df: DataFrame, kinds: dict[str, str], trimmed: Sequence[str] = ()) -> DataFrame:
+    """Columns that are there cast to kinds; whole numbers are read from text with decimals too, what is no number is null."""
+    out = {}
+    for name, kind in kinds.items():
+        if name in df.columns:
+            c = F.col(name)
+            c = c.cast("string").try_cast("double").cast("long") if kind == "long" else c.try_cast(kind)
+            out[name] = F.trim(c) if name in trimmed else c
+    return df.withColumns(out) if out else df
+
+
+def ordered_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:
+    """The columns of ``first`` that are there, in that order, then the others in theirs."""
+    return df.select(*[c for c in first if c in df.columns], *[c for c in df.columns if c not in first])
+
+
+def with_defaults(df: DataFrame, values: dict[str, object]) -> DataFrame:
+    """df with a constant column for each name that it lacks."""
+    return df.withColumns({k: F.lit(v) for k, v in values.items() if k not in df.columns})
+
+
+def mapped(column: Column, labels: dict[object, object], otherwise: Column | None = None) -> Column:
+    """The label of each value; ``otherwise`` (null) for a value without one."""
+    pairs = [F.lit(x) for item in labels.items() for x in item]
+    found = F.try_element_at(F.create_map(*pairs), column)
+    return found if otherwise is None else F.coalesce(found, otherwise)
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+
+
+def first_seen_joined(df: DataFrame, keys: list[str], value: str, order: str, sep: str = " | ") -> DataFrame:
+    """For each key its distinct values in the order in which they come first, joined.
+
+    A value's first place is found before values are gathered, so that a key gathers each value once.
+    """
+    seen = df.filter(F.trim(value) != "").groupBy(*keys, F.trim(value).alias("_v")).agg(F.min(order).alias("_o"))
+    places = F.array_sort(F.collect_list(F.struct("_o", "_v")))
+    return seen.groupBy(*keys).agg(F.array_join(F.transform(places, lambda x: x["_v"]), sep).alias(value))
+
+
+def labels_of_extremes(df: DataFrame, label: str, values: Sequence[str]) -> DataFrame:
+    """One row: for each of values the labels of its greatest and least rows, the smallest label of equal ones."""
+    both = []
+    for v in values:
+        known = lambda rank, v=v: F.when(F.col(v).isNotNull(), F.struct(rank, F.col(label)))
+        both += [F.min(known(-F.col(v)))[label].alias(f"{v}_most"), F.min(known(F.col(v)))[label].alias(f"{v}_least")]
+    return df.agg(*both)

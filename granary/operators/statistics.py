@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import special
-from granary.operators.windows import average_rank
+from granary.operators.windows import ranked_values, running_totals, with_average_rank
 
 
 @dataclass(frozen=True)
@@ -44,8 +44,10 @@ def standardized(df: DataFrame, *columns: str) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str) -> TestResult:
     """Correlation of average ranks; without a number where a value is missing."""
-    ranked = df.select(average_rank(x).alias("a"), average_rank(y).alias("b"), (F.col(x).isNull() | F.col(y).isNull()).alias("gap"))
-    row = ranked.agg(F.corr("a", "b").alias("r"), F.count("*").alias("n"), F.max("gap").alias("gap")).first()
+    own = df.select(F.col(x).alias("x"), F.col(y).alias("y"))
+    ranked = with_average_rank(with_average_rank(own, "x", "a"), "y", "b")
+    gap = F.col("x").isNull() | F.col("y").isNull()
+    row = ranked.agg(F.corr("a", "b").alias("r"), F.count("*").alias("n"), F.max(gap).alias("gap")).first()
     if row["gap"] or row["r"] is None or row["n"] < 3:
         return TestResult(math.nan, math.nan)
     r, f = row["r"], row["n"] - 2
@@ -53,12 +55,15 @@ def spearman(df: DataFrame, x: str, y: str) -> TestResult:
     return TestResult(r, p, f)
 
 
-def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
-    """(x, y, observed, expected) for every pair of values, also those that never meet."""
+def contingency(df: DataFrame, x: str, y: str, most: int = 1_000_000) -> DataFrame:
+    """(x, y, observed, expected) for every pair of values, also those that never meet; at most ``most`` pairs."""
     counts = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(F.count("*").alias("observed"))
     rows, columns = counts.groupBy(x).agg(F.sum("observed").alias("_r")), counts.groupBy(y).agg(F.sum("observed").alias("_c"))
+    sizes = counts.agg(F.count_distinct(x).alias("r"), F.count_distinct(y).alias("c")).first()
+    if sizes["r"] * sizes["c"] > most:
+        raise ValueError(f"{sizes['r']} x {sizes['c']} cells are more than {most}")
     total = counts.agg(F.sum("observed")).scalar()
-    every = rows.withColumn("_k", F.lit(1)).join(columns.withColumn("_k", F.lit(1)), "_k")
+    every = rows.crossJoin(F.broadcast(columns))  # its size was checked
     full = every.join(counts, [x, y], "left").withColumn("observed", F.coalesce("observed", F.lit(0)))
     return full.select(x, y, "observed", (F.col("_r") * F.col("_c") / total).alias("expected"))
 
@@ -90,40 +95,56 @@ def levene(df: DataFrame, value: str, group: str) -> TestResult:
     return TestResult(f, special.f_tail(f, r["k"] - 1, r["n"] - r["k"]), r["k"] - 1)
 
 
-def _ties(df: DataFrame, value: str) -> float:
-    t = F.col("t").cast("double")
-    return df.groupBy(value).agg(F.count("*").alias("t")).agg(F.sum(t * t * t - t)).first()[0] or 0.0
-
-
 def kruskal(df: DataFrame, value: str, group: str) -> TestResult:
     """Equal location of groups, from average ranks, corrected for ties."""
     known = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
-    ranks = known.select(group, average_rank(value).alias("r")).groupBy(group).agg(F.sum("r").alias("s"), F.count("*").alias("n"))
-    row = ranks.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q")).first()
+    counts = known.groupBy(value, group).agg(F.count("*").alias("c"))
+    ranks = ranked_values(counts.groupBy(value).agg(F.sum("c").alias("n")), value)
+    own = counts.join(ranks, value).groupBy(group).agg(F.sum(F.col("c") * F.col("rank")).alias("s"), F.sum("c").alias("n"))
+    row = own.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q")).first()
+    t = F.col("n").cast("double")
+    ties = ranks.agg(F.sum(t * t * t - t)).first()[0] or 0.0
     n = row["n"]
-    h = (12 / (n * (n + 1)) * row["q"] - 3 * (n + 1)) / (1 - _ties(known, value) / (n**3 - n))
+    h = (12 / (n * (n + 1)) * row["q"] - 3 * (n + 1)) / (1 - ties / (n**3 - n))
     return TestResult(h, special.chi_square_tail(h, row["k"] - 1), row["k"] - 1)
 
 
-def mann_whitney(df: DataFrame, value: str, group: str, first: object, second: object) -> TestResult:
-    """U of first against second; two-sided, by the normal limit with correction for ties and continuity."""
-    both = df.filter(F.col(group).isin(first, second) & F.col(value).isNotNull())
-    ranks = both.select(group, average_rank(value).alias("r")).groupBy(group).agg(F.sum("r").alias("s"), F.count("*").alias("n"))
-    found = {r[group]: r for r in ranks.collect()}
-    a, b = found[first], found[second]
-    n = a["n"] + b["n"]
-    u = a["s"] - a["n"] * (a["n"] + 1) / 2
-    spread = math.sqrt(a["n"] * b["n"] / 12 * (n + 1 - _ties(both, value) / (n * (n - 1))))
-    z = (max(u, a["n"] * b["n"] - u) - a["n"] * b["n"] / 2 - 0.5) / spread
+def _mann_whitney(a: int, b: int, u: float, ties: float) -> TestResult:
+    """Two-sided, by the normal limit with correction for ties and continuity."""
+    n = a + b
+    spread = math.sqrt(a * b / 12 * (n + 1 - ties / (n * (n - 1))))
+    z = (max(u, a * b - u) - a * b / 2 - 0.5) / spread if spread else 0.0
     return TestResult(u, min(1.0, special.normal_two_sided(z)) if z > 0 else 1.0)
 
 
-def pairwise_mann_whitney(df: DataFrame, value: str, group: str) -> list[tuple[object, object, TestResult, float]]:
-    """(first, second, result, p times the number of pairs) for every two groups."""
-    names = sorted(r[0] for r in df.select(group).where(F.col(group).isNotNull()).distinct().collect())
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+def pairwise_mann_whitney(df: DataFrame, value: str, group: str, names: list | None = None) -> list[tuple[object, object, TestResult, float]]:
+    """(first, second, result, p times the number of pairs) for every two groups, in one pass over the values.
+
+    U counts the pairs of rows in which first's value is larger, ties half. Groups are few: each is a column.
+    """
+    known = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+    if names is None:
+        names = sorted(r[0] for r in known.select(group).distinct().collect())
+    known = known.filter(F.col(group).isin(names))
+    place = [f"g{k}" for k in range(len(names))]
+    own = [F.count_if(F.col(group) == name).alias(c) for c, name in zip(place, names, strict=True)]
+    so_far = running_totals(known.groupBy(F.col(value).cast("double").alias("v")).agg(*own), "v", [], place)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    if not pairs:
+        return []
+    sums = [F.sum(c).alias(c) for c in place]
+    for i, j in pairs:
+        a, b, below = F.col(place[i]), F.col(place[j]), F.col(f"{place[j]}_so_far")
+        both = (a + b).cast("double")
+        sums += [F.sum(a * (below - b / 2)).alias(f"u{i}_{j}"), F.sum(both * both * both - both).alias(f"t{i}_{j}")]
+    row = so_far.agg(*sums).first()
     out = []
-    for a, b in pairs:
-        r = mann_whitney(df, value, group, a, b)
-        out.append((a, b, r, r.p_value * len(pairs)))
+    for i, j in pairs:
+        r = _mann_whitney(row[place[i]], row[place[j]], float(row[f"u{i}_{j}"]), row[f"t{i}_{j}"])
+        out.append((names[i], names[j], r, r.p_value * len(pairs)))
     return out
+
+
+def mann_whitney(df: DataFrame, value: str, group: str, first: object, second: object) -> TestResult:
+    """U of first against second; two-sided."""
+    return pairwise_mann_whitney(df, value, group, [first, second])[0][2]

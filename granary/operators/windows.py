@@ -1,7 +1,15 @@
-"""Running, rolling and rank-based columns."""
+"""Running, rolling and rank-based columns.
+
+What runs over a whole table is computed by ranges: bounds of about equally many
+rows each come from a sketch of the values, a window runs within each range, and
+the ranges' totals, a few dozen rows, are added to what comes after them. No
+task holds all rows.
+"""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,29 +20,48 @@ def rolling_mean(df: DataFrame, value: str, order: list[Column], rows: int, name
     return df.withColumn(name, F.when(F.count(value).over(over) == rows, F.avg(value).over(over)))
 
 
-def pareto(df: DataFrame, key: str, value: str, percent: float = 80.0, digits: int = 2) -> DataFrame:
-    """Keys by falling value with their rounded share in percent, its running sum, and only those up to percent.
+def running_totals(df: DataFrame, order: str, ties: list[str], sums: list[str], ranges: int = 64) -> DataFrame:
+    """Adds <name>_so_far for each of sums: its total over all rows up to this one by order (a number), then ties."""
+    wanted = [k / ranges for k in range(1, ranges)]
+    bounds = sorted(set(df.approxQuantile(order, wanted, 0.25 / ranges)))
+    place = functools.reduce(Column.__add__, [F.coalesce((F.col(order) > b).cast("int"), F.lit(0)) for b in bounds], F.lit(0))
+    dealt = df.withColumn("_range", place)
+    own = dealt.groupBy("_range").agg(*(F.sum(c).alias(f"_t_{c}") for c in sums))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    shifts = own.select("_range", *(F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_t_{c}") for c in sums))
+    within = Window.partitionBy("_range").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    out = dealt.join(F.broadcast(shifts), "_range")
+    totals = {f"{c}_so_far": F.sum(c).over(within) + F.col(f"_t_{c}") for c in sums}
+    return out.withColumns(totals).drop("_range", *(f"_t_{c}" for c in sums))
 
-    Rows must be few, one for each key: the running sum is over all of them.
-    """
-    share = F.bround(100 * F.col(value) / F.sum(value).over(Window.partitionBy()), digits)
-    before = Window.orderBy(F.desc(value), key).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("share", share).withColumn("running_share", F.bround(F.sum("share").over(before), digits))
-    return out.filter(F.col("running_share") <= percent)
+
+def pareto(df: DataFrame, key: str, value: str, percent: float = 80.0, digits: int = 2) -> DataFrame:
+    """Keys by falling value with their rounded share in percent, its running sum, and only those up to percent."""
+    total = df.agg(F.sum(value)).scalar()
+    shares = df.withColumn("share", F.bround(100 * F.col(value) / total, digits)).withColumn("_falling", -F.col(value))
+    out = running_totals(shares, "_falling", [key], ["share"]).withColumnRenamed("share_so_far", "running_share").drop("_falling")
+    return out.withColumn("running_share", F.bround("running_share", digits)).filter(F.col("running_share") <= percent)
 
 
 def lorenz(df: DataFrame, key: str, value: str) -> DataFrame:
     """For each key by rising value: the share of keys and the share of value up to it; one row for each key."""
-    order, all_ = Window.orderBy(value, key), Window.partitionBy()
-    before = order.rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(
+    every = df.agg(F.struct(F.count("*").alias("n"), F.sum(value).alias("v"))).scalar()
+    own = df.select(key, F.col(value).alias("_v"), F.lit(1).alias("_one"))
+    out = running_totals(own, "_v", [key], ["_one", "_v"]).withColumn("_all", every)
+    return out.select(
         key,
-        (F.row_number().over(order) / F.count("*").over(all_)).alias("share_of_keys"),
-        (F.sum(value).over(before) / F.sum(value).over(all_)).alias("share_of_value"),
+        (F.col("_one_so_far") / F.col("_all.n")).alias("share_of_keys"),
+        (F.col("_v_so_far") / F.col("_all.v")).alias("share_of_value"),
     )
 
 
-def average_rank(value: str, by: list[str] = ()) -> Column:
-    """Rank from 1; equal values share the mean of their ranks."""
-    same = Window.partitionBy(*by, value)
-    return F.rank().over(Window.partitionBy(*by).orderBy(value)) + (F.count("*").over(same) - 1) / 2
+def ranked_values(counts: DataFrame, value: str) -> DataFrame:
+    """Adds rank to (value, n), a row for each distinct value: the mean of the ranks from 1 that its n rows share."""
+    out = running_totals(counts.filter(F.col(value).isNotNull()), value, [], ["n"])
+    return out.withColumn("rank", F.col("n_so_far") - (F.col("n") - 1) / 2).drop("n_so_far")
+
+
+def with_average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """df with the average rank of value; null for a missing one."""
+    ranks = ranked_values(df.groupBy(value).agg(F.count("*").alias("n")), value)
+    return df.join(ranks.select(value, F.col("rank").alias(name)), value, "left")

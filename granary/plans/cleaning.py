@@ -61,12 +61,12 @@ def isin_list(spark, sf_dir):
 
 @query(
     """SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)
-    AND c_custkey NOT IN (SELECT o_custkey FROM orders)"""
+    AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)"""
 )
 def semi_and_anti_join(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").filter("n_regionkey = 1")
     customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 300000")
     return customers.join(orders, customers.c_custkey == orders.o_custkey, "left_anti").select("c_custkey")
 
 
@@ -222,3 +222,54 @@ def upsert_latest(spark, sf_dir):
 )
 def quality_counters(spark, sf_dir):
     return gate_counts(table(spark, sf_dir, "events"), ["user_id", "ts"], ["value"], {"value": (1, 60)})
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, trim(c_name) AS title, CAST(floor(c_acctbal) AS BIGINT) AS year, 'CUSTOMER' AS source, '' AS decision,
+    c_mktsegment AS segment FROM customer WHERE c_acctbal IS NOT NULL"""
+)
+def column_contract(spark, sf_dir):
+    raw = table(spark, sf_dir, "customer").filter("c_acctbal IS NOT NULL").select(
+        F.col("c_mktsegment").alias("segment"), F.lit("CUSTOMER").alias("Sources"), F.lit(None).cast("string").alias("source"),
+        F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("title"), F.floor("c_acctbal").cast("string").alias("raw_year"), F.col("c_custkey").alias("ID"),
+    )
+    named = R.renamed(raw, {"Sources": "source", "ID": "id", "raw_year": "year"})
+    kinds = {"id": "string", "title": "string", "year": "long", "source": "string", "none": "string"}
+    typed = R.with_defaults(R.harmonized(named, kinds, ["title"]), {"decision": "", "source": "other"})
+    return R.ordered_columns(typed, ["id", "title", "year", "source", "decision", "none"])
+
+
+@query(
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'closed' WHEN 'O' THEN 'open' ELSE 'unknown' END AS status, w AS weight FROM orders
+    LEFT JOIN (VALUES ('1-URGENT', 3), ('2-HIGH', 2)) AS d(p, w) ON o_orderpriority = p"""
+)
+def mapped_labels(spark, sf_dir):
+    weights = spark.createDataFrame([("1-URGENT", 3), ("2-HIGH", 2)], "o_orderpriority string, weight int")
+    orders = table(spark, sf_dir, "orders").join(F.broadcast(weights), "o_orderpriority", "left")  # a dimension of two rows
+    status = R.mapped(F.col("o_orderstatus"), {"F": "closed", "O": "open"}, F.lit("unknown"))
+    return orders.select("o_orderkey", status.alias("status"), "weight")
+
+
+@query(
+    """SELECT o_custkey, string_agg(o_orderpriority, ' | ' ORDER BY k) AS o_orderpriority FROM
+    (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS k FROM orders GROUP BY 1, 2) GROUP BY 1"""
+)
+def concat_first_seen(spark, sf_dir):
+    return R.first_seen_joined(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "o_orderkey")
+
+
+@query(
+    """SELECT (SELECT p_partkey FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 1) AS p_retailprice_most,
+    (SELECT p_partkey FROM part ORDER BY p_retailprice, p_partkey LIMIT 1) AS p_retailprice_least,
+    (SELECT p_partkey FROM part ORDER BY p_size DESC, p_partkey LIMIT 1) AS p_size_most,
+    (SELECT p_partkey FROM part ORDER BY p_size, p_partkey LIMIT 1) AS p_size_least"""
+)
+def labels_of_extremes(spark, sf_dir):
+    return R.labels_of_extremes(table(spark, sf_dir, "part"), "p_partkey", ["p_retailprice", "p_size"])
+
+
+@query("SELECT p_partkey, p_type FROM part WHERE TRY_CAST(CASE WHEN p_partkey % 4 = 0 THEN p_type ELSE p_size::VARCHAR END AS DOUBLE) IS NULL")
+def not_numeric(spark, sf_dir):
+    code = F.when(F.col("p_partkey") % 4 == 0, F.col("p_type")).otherwise(F.col("p_size").cast("string"))
+    parts = table(spark, sf_dir, "part")
+    return parts.filter(code.isNotNull() & code.try_cast("double").isNull()).select("p_partkey", "p_type")

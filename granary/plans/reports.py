@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.operators import multivariate, statistics
-from granary.operators.windows import average_rank
+from granary.operators.windows import with_average_rank
 from granary.plans.catalog import query, table
 from granary.streaming.events import hourly_windows
 
@@ -57,7 +57,7 @@ def pearson_matrix(spark, sf_dir):
     rank() OVER (ORDER BY p_retailprice) + (count(*) OVER (PARTITION BY p_retailprice) - 1) / 2 AS b FROM part)"""
 )
 def spearman_size_price(spark, sf_dir):
-    ranks = table(spark, sf_dir, "part").select(average_rank("p_size").alias("a"), average_rank("p_retailprice").alias("b"))
+    ranks = with_average_rank(with_average_rank(table(spark, sf_dir, "part").select("p_size", "p_retailprice"), "p_size", "a"), "p_retailprice", "b")
     return ranks.agg(F.round(F.corr("a", "b"), 8).alias("spearman"))
 
 
@@ -109,6 +109,43 @@ def mannwhitney_types(spark, sf_dir):
     return _result(spark, statistics.mann_whitney(table(spark, sf_dir, "part"), "p_size", "p_type", "ECONOMY", "PROMO"))
 
 
+@query(
+    """WITH p AS (SELECT p_type AS g, p_size::DOUBLE AS v FROM part), g AS (SELECT g, count(*)::DOUBLE AS n FROM p GROUP BY 1),
+    k AS (SELECT count(*)::DOUBLE AS m FROM g a JOIN g b ON a.g < b.g),
+    c AS (SELECT g, v, count(*)::DOUBLE AS c FROM p GROUP BY 1, 2),
+    u AS (SELECT a.g AS first, b.g AS second, sum(a.c * b.c * CASE WHEN a.v > b.v THEN 1 WHEN a.v = b.v THEN 0.5 ELSE 0 END) AS u
+        FROM c a JOIN c b ON a.g < b.g GROUP BY 1, 2),
+    t AS (SELECT x.g AS first, y.g AS second, sum(s ** 3 - s) AS t FROM g x JOIN g y ON x.g < y.g JOIN LATERAL
+        (SELECT sum(c) AS s FROM c WHERE c.g IN (x.g, y.g) GROUP BY v) ON true GROUP BY 1, 2),
+    z AS (SELECT u.first, u.second, u, m, (greatest(u, a.n * b.n - u) - a.n * b.n / 2 - 0.5)
+        / sqrt(a.n * b.n / 12 * (a.n + b.n + 1 - t / ((a.n + b.n) * (a.n + b.n - 1)))) AS z
+        FROM u JOIN t USING (first, second) JOIN g a ON u.first = a.g JOIN g b ON u.second = b.g, k),
+    s AS (SELECT first, second, u, m, z, greatest(z, 0) / 2000 AS h FROM z),
+    p2 AS (SELECT first, second, u, m, 1 - 2 / sqrt(2 * pi()) * h / 3 * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * exp(0 - (i * h) ** 2 / 2)) AS p FROM s, range(0, 2001) r(i) GROUP BY first, second, u, m, h)
+    SELECT first, second, round(u, 5) AS u, round(p, 6) AS p, round(p * m, 6) AS p_bonferroni, p * m < 0.05 AS significant FROM p2"""
+)
+def mannwhitney_pairs(spark, sf_dir):
+    found = statistics.pairwise_mann_whitney(table(spark, sf_dir, "part"), "p_size", "p_type")
+    rows = [(a, b, round(r.statistic, 5), round(r.p_value, 6), round(p, 6), p < 0.05) for a, b, r, p in found]
+    return spark.createDataFrame(rows, "first string, second string, u double, p double, p_bonferroni double, significant boolean")
+
+
+@query(
+    """WITH t AS (SELECT c_mktsegment AS a, o_orderpriority AS b, count(*)::DOUBLE AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+    m AS (SELECT (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS freedom, sum(n) AS s FROM t),
+    x AS (SELECT s * (sum(n * n / (r * c)) - 1) AS x, freedom FROM t JOIN (SELECT a, sum(n) AS r FROM t GROUP BY 1) USING (a)
+        JOIN (SELECT b, sum(n) AS c FROM t GROUP BY 1) USING (b), m GROUP BY s, freedom)
+    SELECT round(x, 5) AS statistic, freedom::DOUBLE AS freedom, round(exp(-x / 2) * list_sum(list_transform(range(0, freedom // 2),
+        lambda i: pow(x / 2, i) / gamma(i + 1))), 6) AS p FROM x"""
+)
+def chi2_test(spark, sf_dir):
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    both = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    r = statistics.chi_square(both, "c_mktsegment", "o_orderpriority")
+    return spark.createDataFrame([(round(r.statistic, 5), float(r.freedom), round(r.p_value, 6))], "statistic double, freedom double, p double")
+
+
 @query("SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER (), 6) AS p_size FROM part")
 def zscore_scaled(spark, sf_dir):
     out = statistics.standardized(table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("double")), "p_size")
@@ -147,7 +184,10 @@ def pca_variance(spark, sf_dir):
 @query()
 def kmeans_inertia(spark, sf_dir):
     vectors = multivariate.assembled(table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("p_size"), "p_retailprice"), ["p_size", "p_retailprice"])
-    return spark.createDataFrame(multivariate.elbow(vectors.select("features").cache(), 4, 1), "k int, cost double")
+    kept = vectors.select("features").cache()
+    costs = multivariate.elbow(kept, 4, 1)
+    kept.unpersist()
+    return spark.createDataFrame(costs, "k int, cost double")
 
 
 @query()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from granary.functions import identifiers, isbn, text
 from granary.plans.catalog import query, table
-from granary.sources.records import field_values, parsed_records
+from granary.sources.records import envelope, field_values, local_works, parsed_records
 
 _BODY = "lpad(p_partkey::VARCHAR, 9, '0')"
 _SUM10 = " + ".join(f"CAST(substr(b, {i + 1}, 1) AS INT) * {10 - i}" for i in range(9))
@@ -68,7 +68,11 @@ def year_extract(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", text.first_year(both).cast("long").alias("year"))
 
 
-@query("SELECT doc_id, strip_accents(replace(replace(replace(lower(text), 'œ', 'oe'), 'æ', 'ae'), 'ß', 's')) AS folded FROM documents")
+_FOLDED = """strip_accents(replace(replace(replace(trim(lower(text), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'œ', 'oe'), 'æ', 'ae'), '’', chr(39)))"""
+
+
+@query(f"SELECT doc_id, {_FOLDED} AS folded FROM documents")
 def text_fold(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.fold(F.col("text")).alias("folded"))
 
@@ -82,14 +86,14 @@ def isbd_clean(spark, sf_dir):
 _TERMS = ["heon", "erst", "gy"]
 
 
-@query("SELECT doc_id FROM documents WHERE " + " OR ".join(f"contains(replace(strip_accents(lower(text)), 'ß', 's'), '{t}')" for t in _TERMS))
+@query("SELECT doc_id FROM documents WHERE " + " OR ".join(f"contains({_FOLDED}, '{t}')" for t in _TERMS))
 def keyword_detect_substring(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter(text.contains_any(F.col("text"), _TERMS)).select("doc_id")
 
 
 @query(
     "SELECT doc_id FROM documents WHERE "
-    + " OR ".join(f"regexp_matches(replace(strip_accents(lower(text)), 'ß', 's'), '(^|[^a-z]){t}([^a-z]|$)')" for t in _TERMS)
+    + " OR ".join(f"regexp_matches({_FOLDED}, '(^|[^a-z]){t}([^a-z]|$)')" for t in _TERMS)
 )
 def keyword_detect_bounded(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter(text.contains_any(F.col("text"), _TERMS, True)).select("doc_id")
@@ -135,3 +139,74 @@ def xml_field_extract(spark, sf_dir):
         F.get(field_values("100", "a"), F.lit(0)).alias("author"),
         F.explode(field_values("020", "a")).alias("isbn"),
     )
+
+
+@query(r"""SELECT p_partkey, '\(' || p_name || '\) \\' || p_brand || '\?' AS term, p_brand || '\"' || p_name AS literal FROM part""")
+def escaped_terms(spark, sf_dir):
+    term = F.concat(F.lit("("), "p_name", F.lit(") \\"), "p_brand", F.lit("?"))
+    literal = F.concat("p_brand", F.lit('"'), "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", text.escaped_term(term).alias("term"), text.escaped_literal(literal).alias("literal"))
+
+
+# Summer time: from the last Sunday of March to that of October, at 1 o'clock universal time.
+_SUMMER = """ts >= make_date(year(ts), 3, 31) - CAST(dayofweek(make_date(year(ts), 3, 31)) AS INTEGER) + INTERVAL 1 HOUR
+    AND ts < make_date(year(ts), 10, 31) - CAST(dayofweek(make_date(year(ts), 10, 31)) AS INTEGER) + INTERVAL 1 HOUR"""
+
+
+@query(
+    f"""SELECT event_id, CASE WHEN {_SUMMER} THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '+02:00'
+    ELSE strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '+01:00' END AS local FROM
+    (SELECT event_id, ts + INTERVAL 1 HOUR * (event_id % 9000) AS ts FROM events)"""
+)
+def local_times(spark, sf_dir):
+    later = F.expr("ts + make_interval(0, 0, 0, 0, cast(event_id % 9000 as int), 0, 0)")
+    return table(spark, sf_dir, "events").select("event_id", text.local_iso_time(later).alias("local"))
+
+
+@query(
+    """SELECT p_partkey, p_partkey::VARCHAR AS id, p_name AS title, p_brand AS place, p_type AS subject,
+    array_to_string(list_filter([CASE WHEN contains(lower(p_name), 'a') THEN 'title' END, CASE WHEN contains(lower(p_brand), '#1')
+    THEN 'place_of_publication' END, CASE WHEN contains(lower(p_type), 'promo') THEN 'subject' END], lambda x: x IS NOT NULL), ' | ') AS reasons
+    FROM part WHERE contains(lower(p_name), 'a') OR contains(lower(p_brand), '#1') OR contains(lower(p_type), 'promo')"""
+)
+def local_records(spark, sf_dir):
+    def field(tag: str, *subfields: tuple[str, Column | str]) -> list[Column]:
+        inner = [F.concat(F.lit(f'<subfield code="{k}">'), v, F.lit("</subfield>")) for k, v in subfields]
+        return [F.lit(f'<datafield tag="{tag}">'), *inner, F.lit("</datafield>")]
+
+    parts = [
+        F.lit('<record><controlfield tag="001">'), F.col("p_partkey").cast("string"), F.lit("</controlfield>"),
+        *field("010", ("a", F.lit("978-2"))), *field("200", ("a", F.col("p_name"))), *field("214", ("a", F.col("p_brand"))),
+        *field("606", ("3", F.lit("promo a #1")), ("a", F.col("p_type")), ("2", F.lit("rameau"))), F.lit("</record>"),
+    ]
+    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
+    found = local_works(parsed_records(raw, "xml"), {"title": ["a"], "place_of_publication": ["#1"], "subject": ["promo"]})
+    joined = lambda c: F.array_join(c, " | ")
+    return found.select(
+        "p_partkey", "id", joined("titles").alias("title"), joined("places").alias("place"),
+        joined("subjects").alias("subject"), joined("reasons").alias("reasons"),
+    )
+
+
+@query(
+    """SELECT p_size AS answer, count(*) AS n_records, count(*) FILTER (p_partkey % 5 = 0) AS n_unchecked,
+    string_agg(p_partkey::VARCHAR, ' | ' ORDER BY p_partkey) AS ids FROM part WHERE p_size < 10 GROUP BY 1"""
+)
+def search_envelopes(spark, sf_dir):
+    data = F.when(F.col("p_partkey") % 5 == 0, F.lit("<diag:diagnostic><uri>1/131</uri></diag:diagnostic>")).otherwise(
+        F.lit('<mxc:record><mxc:controlfield tag="001">1</mxc:controlfield></mxc:record>')
+    )
+    record = F.concat(
+        F.lit("<srw:record><srw:recordData>"), data, F.lit("</srw:recordData><srw:recordIdentifier> "),
+        F.col("p_partkey").cast("string"), F.lit(" </srw:recordIdentifier></srw:record>"),
+    )
+    few = table(spark, sf_dir, "part").filter("p_size < 10")
+    pages = few.groupBy(F.col("p_size").alias("answer")).agg(F.count("*").alias("n"), F.collect_list(record).alias("r"))
+    names = 'xmlns:srw="http://www.loc.gov/zing/srw/" xmlns:mxc="info:x" xmlns:diag="info:d"'
+    xml = F.concat(
+        F.lit(f"<srw:searchRetrieveResponse {names}><srw:numberOfRecords>"), F.col("n").cast("string"),
+        F.lit("</srw:numberOfRecords><srw:records>"), F.array_join("r", ""), F.lit("</srw:records></srw:searchRetrieveResponse>"),
+    )
+    found = envelope(pages.select("answer", xml.alias("xml")), "xml")
+    ids = F.array_join(F.transform(F.array_sort(F.transform("ids", lambda x: x.cast("long"))), lambda x: x.cast("string")), " | ")
+    return found.select("answer", "n_records", F.size("unchecked").cast("long").alias("n_unchecked"), ids.alias("ids"))

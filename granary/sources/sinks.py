@@ -63,3 +63,20 @@ def write_xlsx(df: DataFrame, path: str, limit: int = 1_048_575) -> None:
                     raise ValueError(f"more than {limit} rows")
                 put(row)
             out.write(b"</sheetData></worksheet>")
+
+
+def write_csv_marked(df: DataFrame, path: str, sep: str = ",") -> None:
+    """As write_csv, with the byte order mark by which spreadsheet programs know the encoding."""
+    first, *rest = df.columns
+    write_csv(df.select(F.col(f"`{first}`").alias(f"﻿{first}"), *(F.col(f"`{c}`") for c in rest)), path, sep)
+
+
+def create_table(spark: SparkSession, name: str, schema: str, partition_by: list[str] = ()) -> None:
+    """An empty Parquet table, unless it is there; keys are kept unique by ``upsert_parquet``, not by the table."""
+    by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{by}")
+
+
+def replace_table(df: DataFrame, name: str) -> None:
+    """Replaces a table's rows and columns by those of df."""
+    df.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(name)

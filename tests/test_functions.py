@@ -42,7 +42,7 @@ def test_identifiers(spark):
 
 
 def test_texts(spark):
-    assert values(spark, text.fold, ["Œuvre d’Été À", "Größe"]) == ["oeuvre d'ete a", "grose"]
+    assert values(spark, text.fold, ["Œuvre d’Été À", " Größe\n", "e\u0301te\u0301 ø", "\u1e9b\u0323 Ǖ ά й"]) == ["oeuvre d'ete a", "große", "ete ø", "ſ u α и"]
     assert values(spark, text.first_year, ["[c1998], 2003", "12345", "cop. 2150", None]) == [2003, None, 2150, None]
     assert values(spark, text.trim_punctuation, ["Title /", "a ; ", "b"]) == ["Title", "a", "b"]
     assert values(spark, lambda c: text.merge_cells(c, F.lit("b | c")), ["a|b", None, " "]) == ["a | b | c", "b | c", "b | c"]

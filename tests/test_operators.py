@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from granary.operators import multivariate, relational, statistics, windows
+from granary.operators import multivariate, records, relational, statistics, windows
 from granary.operators.quality import QualityError, check, gate_counts
 
 
@@ -88,3 +88,41 @@ def test_gate(spark):
     with pytest.raises(QualityError):
         check(df, ["city", "at"], ["t"], {"t": (-60, 60)})
     assert check(df.limit(0), ["city", "at"], ["t"], {}).count() == 0
+
+
+def test_running_totals_over_ranges(spark):
+    draw = np.random.default_rng(4)
+    values = [float(v) for v in draw.integers(0, 40, 300)] + [None] * 3
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double").withColumn("one", F.lit(1))
+    got = {r.k: r.one_so_far for r in windows.running_totals(df, "v", ["k"], ["one"], ranges=7).collect()}
+    order = sorted(range(len(values)), key=lambda k: (values[k] is not None, values[k] or 0, k))
+    assert got == {k: i + 1 for i, k in enumerate(order)}
+    assert windows.running_totals(df.limit(0), "v", ["k"], ["one"]).count() == 0
+    ranks = {r.k: r.r for r in windows.with_average_rank(df, "v", "r").collect()}
+    assert [ranks[k] for k in range(300)] == pd.Series(values[:300]).rank().tolist() and ranks[300] is None
+
+
+def test_pairwise_tests_equal_single_ones(spark):
+    draw = np.random.default_rng(5)
+    rows_ = [(g, float(v)) for g in "abc" for v in draw.integers(0, 9, 30)] + [("a", None), (None, 1.0)]
+    df = spark.createDataFrame(rows_, "g string, v double")
+    for a, b, r, p in statistics.pairwise_mann_whitney(df, "v", "g"):
+        x, y = ([v for g, v in rows_ if g == k and v is not None] for k in (a, b))
+        assert r.statistic == sum((i > j) + 0.5 * (i == j) for i in x for j in y) and p == 3 * r.p_value
+        single = statistics.mann_whitney(df, "v", "g", a, b)
+        assert (r.statistic, r.p_value) == (single.statistic, single.p_value)
+    assert statistics.pairwise_mann_whitney(df.filter("g = 'a'"), "v", "g") == []
+
+
+def test_loops_do_not_end_silently(spark):
+    chain = spark.createDataFrame([(k + 1, k) for k in range(6)], "place long, parent long")
+    assert records.place_closure(chain, 0).count() == 7
+    with pytest.raises(RuntimeError):
+        records.place_closure(chain, 0, depth=4)
+
+
+def test_columns_of_several_spellings(spark):
+    df = spark.createDataFrame([(None, "x", " 7.9 "), ("y", "z", "n")], "a string, A2 string, n string")
+    out = relational.renamed(df, {"A2": "a"})
+    assert rows(relational.harmonized(out, {"n": "long"}), "n") == [("y", None), ("x", 7)]
+    assert relational.numeric_columns(relational.harmonized(out, {"n": "long"})) == ["n"]

@@ -82,3 +82,44 @@ def test_stream_of_events(spark, tmp_path):
     kept = spark.read.parquet(f"{tmp_path}/out")
     assert kept.count() == 2
     assert [(r.n, r.total) for r in hourly_windows(kept).collect()] == [(2, 3.0)]
+
+
+def test_tables_and_marked_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, "é")], "a int, b string")
+    sinks.write_csv_marked(df, f"file://{tmp_path}/m")
+    (part,) = tmp_path.glob("m/part-*")
+    assert part.read_bytes() == "\ufeffa,b\n1,é\n".encode()
+    assert [tuple(r) for r in files.read_optional_csv(spark, f"file://{tmp_path}/m", "a int, b string").collect()] == [(1, "é")]
+    for _ in range(2):
+        sinks.create_table(spark, "weather_test", "city string, at string, v double", ["city"])
+    assert spark.table("weather_test").count() == 0
+    for rows in ([("p", 1)], [("q", 2), ("r", 3)]):
+        sinks.replace_table(spark.createDataFrame(rows, "name string, n int"), "city_test")
+    assert sorted(map(tuple, spark.table("city_test").collect())) == [("q", 2), ("r", 3)]
+    spark.sql("DROP TABLE weather_test")
+    spark.sql("DROP TABLE city_test")
+
+
+def test_local_works_need_id_number_and_reason(spark):
+    def record(name, *fields):
+        inner = "".join(f'<datafield tag="{t}"><subfield code="{c}">{v}</subfield></datafield>' for t, c, v in fields)
+        return f'<record><controlfield tag="001">{name}</controlfield>{inner}</record>'
+
+    number = ("010", "a", "9782")
+    rows = [
+        record("a", number, ("541", "t", "À Genève"), ("701", "3", "p1"), ("700", "3", "p2")),
+        record("b", ("200", "a", "Genève")),
+        record("c", number, ("606", "3", "geneve"), ("606", "2", "geneve"), ("200", "b", "geneve")),
+        record("d", number, ("605", "x", "GENEVE"), ("210", "c", "geneve"), ("214", "a", "geneve")),
+        "no record",
+    ]
+    df = records.parsed_records(spark.createDataFrame([(r,) for r in rows], "xml string"), "xml")
+    every = {k: ["geneve"] for k in ("title", "place_of_publication", "subject")}
+    got = {r.id: (r.reasons, r.persons) for r in records.local_works(df, every).collect()}
+    assert got == {"a": (["title"], ["p1", "p2"]), "d": (["place_of_publication", "subject"], [])}
+
+
+def test_envelope_of_an_empty_answer(spark):
+    df = spark.createDataFrame([("<r><numberOfRecords>0</numberOfRecords></r>",), ("<r/>",), ("<r><numberOfRecords>2</numberOfRecords></r>",)], "xml string")
+    got = [(r.n_records, r.ids, r.unchecked, r.complete) for r in records.envelope(df, "xml").collect()]
+    assert got == [(0, [], [], True), (None, [], [], None), (2, [], [], False)]
