@@ -21,6 +21,7 @@ no rows; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,13 +54,14 @@ CLASSES = (
     EntropyClass("alphanumeric", "[A-Za-z0-9]+", 20, 3.5),
     EntropyClass("base64", "[A-Za-z0-9+/_=-]+", 20, 3.7),
 )
-#: Candidates that are no secrets: words and paths without digits, numbers, UUIDs, repeated characters, examples.
+#: Candidates that are no secrets: words and paths without digits, numbers, UUIDs, repeated characters, examples (by what
+#: stands after the last = or /: a name or folder before a secret does not excuse it). Each is matched by itself.
 ALLOW = (
     r"[^0-9]*",
     r"[0-9_=+/-]*",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(.)\1*",
-    r"(?i).*(example|sample|placeholder|xxxx|0000000|1234567|abcdef).*",
+    r"(?i).*(example|sample|placeholder|xxxx|0000000|1234567|abcdef)[^=/]*=*",
     r"[A-Za-z]+[0-9]{1,4}",
 )
 
@@ -157,7 +159,7 @@ def scan_secrets(
     found = marked_matches(base, PATTERNS | {"entropy": CANDIDATE})
     good = (
         F.when(F.col("kind") == "assign", F.char_length(F.regexp_extract("match", ASSIGN, 2)) >= 6)
-        .when(F.col("kind") == "entropy", ~F.col("match").rlike("|".join(f"^(?:{a})$" for a in allow)))
+        .when(F.col("kind") == "entropy", ~functools.reduce(Column.__or__, [F.col("match").rlike(f"^(?:{a})$") for a in allow], F.lit(False)))
         .otherwise(True)
     )
     # Few rows; written once, as the pattern and entropy branches both read them.
@@ -170,18 +172,18 @@ def scan_secrets(
     )
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     spans = kept.filter(F.col("kind") != "entropy").select(*columns).unionByName(entropy)
-    each = spans.groupBy("row", "doc_id", "text_hash").agg(
+    # A base span touches another that starts at or after its own start if it ends later, one that starts before if it starts
+    # before that one's end; the last end and the first start on each side tell.
+    base_span = F.col("kind") != "entropy"
+    rising, falling = (Window.partitionBy("row").orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc("start"), F.desc("start")))
+    left, right = F.max(F.when(base_span, F.col("end"))).over(rising), F.min(F.when(base_span, F.col("start"))).over(falling)
+    touched = F.coalesce(left > F.col("start"), F.lit(False)) | F.coalesce(right < F.col("end"), F.lit(False))
+    alone = spans.withColumn("touched", touched).filter(base_span | ~F.col("touched"))
+    each = alone.groupBy("row", "doc_id", "text_hash").agg(
         F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("s")
     )
-    # Base spans, merged into a running end, tell which entropy spans they touch.
     line = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
-    touches = lambda x, y: (y["kind"] != "entropy") & (y["start"] < x["end"]) & (x["start"] < y["end"])
-    out = (
-        each.withColumn("b", F.filter("s", lambda x: x["kind"] != "entropy"))
-        .withColumn("e", F.filter("s", lambda x: x["kind"] == "entropy"))
-        .withColumn("e", F.filter("e", lambda x: ~F.exists("b", lambda y: touches(x, y))))
-        .withColumn("s", F.sort_array(F.concat("b", "e")))
-    )
+    out = each.withColumn("b", F.filter("s", lambda x: x["kind"] != "entropy"))
     count = lambda k: F.size(F.filter("b", lambda x: x["kind"] == k)).cast("long")
     # Repeated rows hold the same spans; one of each goes on.
     rows = out.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(

@@ -97,6 +97,7 @@ def test_secrets(make, odd):
         (14, "blob Zk9fQ2xvdWQtVmF1bHQ3OTgyMzQ1Njc5QWJj end"), (15, "path internationalization/handling-of-words"), (16, "secret=ab : token=longenough"),
     ]
     out = scan_secrets(make(texts))
+    no_python(out)
     rows = out.collect()
     assert sorted([r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256] for r in rows) == sorted([k, *secrets(t or "")] for k, t in texts)
     spans = {r.doc_id: r.spans for r in rows}
@@ -115,3 +116,26 @@ def test_window_entropy_by_brute_force(spark):
     for w in words:
         each = [collections.Counter(w[i : i + 10]).values() for i in range(len(w) - 9)]
         assert got[w] == pytest.approx(max(-sum(c / 10 * math.log2(c / 10) for c in v) for v in each))
+
+
+def test_secrets_beside_names_and_own_allow_entries(make):
+    key = "Zk9fQ2xvdWQtVmF1bHQ3OTgyMzQ1Njc5QWJj"
+    texts = {1: f"SAMPLE_APP={key}", 2: f"docs/example/{key}", 3: f"x{key}example=", 4: "zq" * 30, 5: f"{key} {key[::-1]}"}
+    spans = {r.doc_id: r.spans for r in scan_secrets(make(texts)).collect()}
+    assert spans[1] and spans[2] and spans[3] == "" and spans[4] == "" and spans[5].count("entropy") == 2
+    allow = (r"(Zk)(9f)\2*.*", r"(.)\1*")  # each entry's groups are its own
+    assert scan_secrets(make({5: texts[5]}), allow=allow).first().spans.count("entropy") == 1
+
+
+def test_touching_entropy_spans_by_brute_force(make):
+    import random
+
+    draw, texts = random.Random(3), {}
+    for k in range(40):
+        parts = [draw.choice(["token=", "password: ", "AKIA", "", "x ", "é "]) + "".join(draw.choices("abcdef0123456789GHIJKL", k=draw.randint(18, 45))) for _ in range(6)]
+        texts[k] = draw.choice([" ", ",", "/"]).join(parts)
+    for r in scan_secrets(make(texts)).collect():
+        spans = [(kind, int(a), int(b)) for kind, a, b in (x.split(":") for x in r.spans.split(",") if x)]
+        base = [s for s in spans if s[0] != "entropy"]
+        assert all(b <= x or y <= a for kind, a, b in spans if kind == "entropy" for _, x, y in base)
+        assert spans == sorted(spans, key=lambda s: s[1])
