@@ -244,6 +244,31 @@ class _Page:
         return "\n".join(self.lines)
 
 
+def _reach(node: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell covers, within the standard's bound."""
+    value = node.attrs.get(name, "").strip()
+    return min(most, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 9 else 1
+
+
+def _grid(rows: list[list[tuple[str, int, int]]]) -> list[list[str]]:
+    """A cell for each column: those that a cell reaches over, to the right or from above, are empty."""
+    out: list[list[str]] = []
+    hanging: dict[int, int] = {}  # column: rows that a cell above still covers
+    for row in rows:
+        line: list[str] = []
+        covered = {c for c, n in hanging.items() if n > 0}
+        hanging = {c: n - 1 for c, n in hanging.items() if n > 1}
+        for text, wide, high in row:
+            while len(line) in covered:
+                line.append("")
+            for k in range(wide):
+                if high > 1:
+                    hanging[len(line)] = max(high - 1, hanging.get(len(line), 0))
+                line.append("" if k else text)
+        out.append(line)
+    return out
+
+
 def _aligned(rows: list[list[str]]) -> list[str]:
     """Rows of cells, a cell's lines below one another, each column as wide as its widest line."""
     cells = [[c.split("\n") for c in row] for row in rows]
@@ -350,9 +375,9 @@ def render(root: Node) -> str:
             else:
                 if not tables[-1]:
                     tables[-1].append([])
-                tables[-1][-1].append(cell)
+                tables[-1][-1].append((cell, _reach(node, "colspan", 1000), _reach(node, "rowspan", 65534)))
         elif tag == "table" and tables:
-            rows = [r for r in tables.pop() if any(r)]
+            rows = [r for r in _grid(tables.pop()) if any(r)]
             page.block(_aligned(rows), indent)
         elif tag in BLOCK:
             page.end(1 if tag in APART else 0)
