@@ -138,7 +138,7 @@ def rewrite(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
 
 
 def disguised_spans(text: str, base: list[Span]) -> list[Span]:
-    """Spans, in source offsets, of what only the rewritten text shows."""
+    """Spans, in source offsets, of what only the rewritten text shows: those that reach beyond each plain one."""
     plain, stretches = rewrite(text)
     if not stretches:
         return []
@@ -158,7 +158,7 @@ def disguised_spans(text: str, base: list[Span]) -> list[Span]:
         if bisect_right(ends, start) == bisect_right(starts, end - 1):
             continue  # nothing in it was rewritten
         span = (source(start, False), kind, source(end, True))
-        if not any(a < span[2] and span[0] < b for a, _, b in base):
+        if not any(a <= span[0] and span[2] <= b for a, _, b in base):
             out.append(span)
     return out
 

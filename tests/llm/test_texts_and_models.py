@@ -1,4 +1,6 @@
 import math
+import random
+import re
 import time
 import zlib
 from collections import Counter
@@ -8,7 +10,7 @@ import pytest
 
 from granary.llm.html_text import extract_text, visible_text
 from granary.llm.language_model import Model, score_documents, tokens_of, train_model
-from granary.llm.pii import KINDS, find_spans, plain_spans, redact, redacted, rewrite, scan_pii
+from granary.llm.pii import KINDS, LOOK_ALIKE, find_spans, plain_spans, redact, redacted, rewrite, scan_pii
 from granary.llm.quality_ranker import fit_ranker, rank_quality
 
 
@@ -228,3 +230,119 @@ def test_base_scores(make, odd, prose):
         assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in rows) == expected
         assert all(-math.inf < r.score < 0 for r in rows)
     assert score_documents(make({})).count() == 0
+
+
+def naive_spans(text):
+    """The contract's patterns as they stand, searched from every place."""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 12 <= len(digits) <= 19 and sum(digits[::2] + [2 * d - 9 * (d > 4) for d in digits[1::2]]) % 10 == 0:
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+def test_plain_spans_equal_brute_force():
+    draw = random.Random(6)
+    for alphabet in ("ab@.-_ ", "0123456789. -", "+0123456789() .-", "a1@.+ -0é"):
+        for _ in range(1500):
+            text = "".join(draw.choices(alphabet, k=draw.randrange(60)))
+            assert plain_spans(text) == naive_spans(text), text
+
+
+def test_planted_disguises_map_back():
+    draw, spelled = random.Random(7), "zero one two three four five six seven eight nine".split()
+    looks = {v: k for k, v in LOOK_ALIKE.items()}
+
+    def disguised(kind):
+        if kind == "email":
+            name, host = (("".join(draw.choices("bcdfghk", k=5))) for _ in range(2))
+            at, dot = draw.choice([" (at) ", "[at]", " ( @ ) ", "{AT}"]), draw.choice([" [dot] ", "(.)", "[ DOT ]", "."])
+            return f"{name}{at}{host}{dot}{draw.choice(['com', 'org'])}"
+        if kind == "phone":
+            return "plus " + draw.choice([" ", "-", ", "]).join(draw.choice(spelled) for _ in range(11))
+        parts = [str(draw.randrange(100, 256)) for _ in range(4)]
+        return draw.choice([lambda: "[.]".join(parts), lambda: ".".join("".join(chr(0xFF10 + int(c)) for c in p) for p in parts)])()
+
+    for _ in range(300):
+        text, expected = "", []
+        for _ in range(draw.randrange(1, 5)):
+            text += draw.choice(["so ", "и вот ", "(x) ", "and so on: ", "é, "])
+            kind = draw.choice(["email", "phone", "ip"])
+            hidden = disguised(kind)
+            expected.append((len(text), KINDS.index(kind), len(text) + len(hidden)))
+            text += hidden + " ; "
+        base, more = find_spans(text)
+        assert sorted(base + more) == expected, text
+    plain = "bob@example.com"
+    for k, c in enumerate(plain):
+        if c in looks:
+            odd = plain[:k] + looks[c] + plain[k + 1 :]
+            assert (0, 0, len(odd)) in find_spans(odd)[1]
+
+
+def test_html_pages_built_with_their_text():
+    draw = random.Random(9)
+
+    def word():
+        return "".join(draw.choices("abcdef", k=draw.randint(1, 6)))
+
+    def block(depth=0):
+        kind = draw.choice(["p", "h2", "div", "hidden", "table"] + ["ul"] * (depth < 2))
+        if kind == "hidden":
+            return draw.choice(["<div hidden>no</div>", "<p style='display:none'>no</p>", "<script>no</script>", "<!-- no -->"]), None
+        if kind == "ul":
+            items = [word() for _ in range(draw.randint(1, 3))]
+            close = draw.choice(["</li>", ""])
+            return "<ul>" + "".join(f"<li>{w}{close}" for w in items) + "</ul>", "\n".join(f"- {w}" for w in items)
+        if kind == "table":
+            wide = draw.randint(1, 3)
+            cells = [[word() for _ in range(wide)] for _ in range(draw.randint(1, 3))]
+            width = [max(len(r[i]) for r in cells) for i in range(wide)]
+            close = draw.choice(["</td>", ""])
+            html = "".join("<tr>" + "".join(f"<td>{c}{close}" for c in r) for r in cells)
+            return f"<table>{html}</table>", "\n".join(" | ".join(c.ljust(w) for c, w in zip(r, width)).rstrip() for r in cells)
+        text = [word() for _ in range(draw.randint(1, 5))]
+        return f"<{kind}>" + draw.choice([" ", "\n  "]).join(f"<b>{w}</b>" if draw.random() < 0.3 else w for w in text) + f"</{kind}>", (kind, " ".join(text))
+
+    for _ in range(300):
+        page, lines, last = "", [], None
+        for _ in range(draw.randint(1, 8)):
+            html, text = block()
+            page += html + draw.choice(["", "\n"])
+            if text is None:
+                continue
+            kind, text = text if isinstance(text, tuple) else ("apart", text)
+            if last is not None:
+                lines += [""] * (kind != "div" or last != "div")
+            lines, last = lines + [text], kind
+        assert visible_text(page) == "\n".join(lines), page
+
+
+@pytest.mark.parametrize(
+    ("rows", "text"),
+    [
+        ("<tr><th colspan=2>ab<th>c<tr><td>1<td>2<td>3", "ab |   | c\n1  | 2 | 3"),
+        ("<tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e", "a | b\n  | c\nd | e"),
+        ("<tr><td colspan=x rowspan=0>a<td>b", "a | b"),
+        ("<tr><td>a<td rowspan=9>b<td>c<tr><td>d<td>e", "a | b | c\nd |   | e"),
+    ],
+)
+def test_html_cells_that_span(rows, text):
+    assert visible_text(f"<table>{rows}</table>") == text
+
+
+def test_ranker_takes_odd_rows(make, odd, prose, spark):
+    texts = [*odd, *enumerate(prose(40, 13), 10), *enumerate(("x! " * 60 for _ in range(40)), 60)]
+    labels = spark.createDataFrame([(k, int(k < 60)) for k in range(10, 100)] + [(7, 1), (7, 0), (None, 1)], "doc_id long, quality int")
+    clash = make(texts).selectExpr("*", "1 AS quality", "2 AS score", "3 AS x")
+    rows = rank_quality(clash, labels).collect()
+    assert len(rows) == len(texts) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    assert len({r.score for r in rows if r.doc_id == 7}) == 1
+    assert rank_quality(make({}), labels).count() == 0
