@@ -130,6 +130,8 @@ def rank_quality(
     kind = known.schema["quality"].dataType.simpleString()
     fitted = (
         base.join(F.broadcast(known), "doc_id")  # at most fit_limit rows
+        .groupBy("doc_id", "quality")
+        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one text of repeated ids, so that no more rows are fitted
         .select("quality", "text")
         .mapInArrow(describe, f"quality {kind}, x array<double>")
         .toPandas()
