@@ -13,8 +13,12 @@ import tempfile
 import uuid
 import weakref
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -106,6 +110,23 @@ def discard(*tables: DataFrame) -> None:
             _remove(df.sparkSession, path)
 
 
+def in_lots(batches: Iterator[pa.RecordBatch], column: int, *, rows: int = 1000, size: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Parts of batches of at most so many rows, and characters or list items of a column, or one row.
+
+    What a worker computes from one lot is bounded, and is also what it keeps of the system's memory later on.
+    """
+    for batch in batches:
+        values = batch.column(column)
+        length = pc.list_value_length if pa.types.is_list(values.type) else pc.utf8_length
+        ends = np.cumsum(pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import ascii_lower, text_of, words_of
+from granary.llm.common import ascii_lower, in_lots, text_of, words_of
 
 _U = np.uint64
 #: Windows are powers of two, at most half the item (where it has 16 words or more) and this.
@@ -285,7 +285,7 @@ def find_leaks(
         held = spark.sparkContext.broadcast(benchmark)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+            for batch in in_lots(batches, 1):
                 leaks = held.value.search(batch.column(1))
                 at = [k for k, own in enumerate(leaks) for _ in own]
                 columns = list(zip(*(x for own in leaks for x in own), strict=True)) or [[]] * 4
@@ -324,7 +324,7 @@ def decontaminate(
         held = docs.sparkSession.sparkContext.broadcast(benchmark)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
+            for batch in in_lots(batches, len(names)):
                 clean = [k for k, leaks in enumerate(held.value.search(batch.column(len(names)))) if not leaks]
                 yield batch.select(names).take(pa.array(clean, pa.int64()))
 

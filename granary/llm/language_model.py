@@ -31,11 +31,10 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import materialize
+from granary.llm.common import in_lots, materialize
 from granary.llm.quality_ranker import held_out
 
 #: The end token: no word is empty.
@@ -316,18 +315,6 @@ def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarr
     return np.fromiter(map(place.get, tokens, repeat(unknown)), np.int64, len(tokens))
 
 
-def lots_of_texts(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """Parts of batches of at most so many rows and characters, or one row: what a task holds of them stays bounded."""
-    for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < batch.num_rows:
-            before = int(ends[start - 1]) if start else 0
-            end = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
-            yield batch.slice(start, end - start)
-            start = end
-
-
 def train_model(
     docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, trainers: int, part: int | None = None
 ) -> Model:
@@ -346,7 +333,7 @@ def train_model(
             own, words = held.value
             own = own.with_blocks(own.blocks().copy())
             n, squares, unknown = 0, {}, words[None]
-            for lot in lots_of_texts(batches, 0):
+            for lot in in_lots(batches, 0, rows=2000, size=8_000_000):
                 n += own.train([_ids(tokens_of(t), words, unknown) for t in lot.column(0).cast(pa.binary()).to_pylist()], squares=squares)
             if n:
                 rows = own.blocks().astype(np.float32)
@@ -418,7 +405,7 @@ def score_documents(
         log_c = np.append(log_c, 0.0)
         unknown, far = place[None], len(known)
         in_model = np.array([place.get(w, unknown) for w in known] + [unknown])
-        for batch in lots_of_texts(batches, 2, rows=8000, size=24_000_000):  # together, as a step costs much the same for one document as for a thousand
+        for batch in in_lots(batches, 2, rows=8000, size=24_000_000):  # together, as a step costs much the same for one document as for a thousand
             docs, columns = [], [[], [], [], [], []]
             for text in batch.column(2).cast(pa.binary()).to_pylist():
                 tokens = tokens_of(text)
