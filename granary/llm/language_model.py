@@ -177,7 +177,7 @@ class Model:
         dh[order] += back
         return out, dh
 
-    def score(self, docs: list[np.ndarray], chunk: int = 1 << 16) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], chunk: int = 1 << 13) -> np.ndarray:
         """Natural log-likelihood of each document (ids that end with the end token), state carried throughout."""
         total = np.zeros(len(docs))
         order = sorted(range(len(docs)), key=lambda k: -len(docs[k]))
@@ -366,7 +366,7 @@ def score_documents(
     known_words: int = 65_536,
     vocabulary: int = 4096,
     width: int = 64,
-    hidden: int = 16,
+    hidden: int = 12,
     rounds: int = 2,
     trainer_tokens: int = 1_000_000,
     sample_part: int | None = None,
