@@ -405,19 +405,19 @@ def score_documents(
         log_c = np.append(log_c, 0.0)
         unknown, far = place[None], len(known)
         in_model = np.array([place.get(w, unknown) for w in known] + [unknown])
+        share = np.where(in_model == unknown, log_c - rare_total, 0.0)  # of a word among those outside the model
         for batch in in_lots(batches, 2, rows=8000, size=24_000_000):  # together, as a step costs much the same for one document as for a thousand
             docs, columns = [], [[], [], [], [], []]
             for text in batch.column(2).cast(pa.binary()).to_pylist():
                 tokens = tokens_of(text)
                 at = _ids(tokens, known, far)
-                ids = in_model[at]
-                docs.append(ids)
-                logs = log_c[at]
+                docs.append(in_model[at])
+                rare_at = np.flatnonzero(at == far).tolist()
                 columns[0].append(len(tokens))
-                columns[1].append(int((at < far).sum()))
-                columns[2].append(float(logs.sum()))
-                columns[3].append(float(logs[ids == unknown].sum() - (ids == unknown).sum() * rare_total))
-                columns[4].append([tokens[k] for k in np.flatnonzero(at == far).tolist()])
+                columns[1].append(len(tokens) - len(rare_at))
+                columns[2].append(float(log_c[at].sum()))
+                columns[3].append(float(share[at].sum()))
+                columns[4].append([tokens[k] for k in rare_at])
             scores = model.score(docs) / np.log(10) + np.array(columns[3])
             rare = pa.array(columns[4], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
             arrays = [batch.column(0), batch.column(1), *(pa.array(x) for x in columns[:3]), pa.array(scores), rare]
