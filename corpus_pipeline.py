@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before
 it kept, and is written as Parquet before the next one reads it. All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, whatever other columns it has. An
+empty table passes through every stage; ids may be null or repeat.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from granary.llm.quality_rules import judge_quality, trusted_documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the quality rules keep."""
+    """Keeps the documents that the quality rules keep: null, empty and short texts go, equal rows are judged alike."""
     judged = judge_quality(docs, trusted_documents(table(spark, sf_dir, "labels")), keep_columns=True)
     return judged.filter("kept").select("row.*")
 
@@ -50,17 +51,17 @@ def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that hold no passage of the benchmark."""
+    """Keeps the documents that hold no passage of the benchmark; null and empty texts stay, and all where it has no items."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the texts by its kind."""
+    """Replaces personal data in the texts by its kind; a null text stays null, and n_chars follows the text."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of token sequences that hold the documents."""
+    """The pieces of token sequences that hold the documents; a null or empty text is its end token alone."""
     return pack(docs)
 
 
