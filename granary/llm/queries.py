@@ -18,6 +18,7 @@ from granary.llm.pii import scan_pii
 from granary.llm.quality_rules import judge_quality, trusted_documents
 from granary.llm.quality_ranker import rank_quality
 from granary.llm.secret_scan import scan_secrets
+from granary.llm.sentence_pieces import encode_pieces, piece_digests
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(encode_pieces(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_packing,
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ngram_jaccard_join,
         op9_pii,
         op10_quality_classifier,
+        op13_sentence_pieces,
     ]
     return {f.__name__: f for f in found} | BASE_QUERIES
 
