@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import table
 from granary.llm.decontamination import find_leaks
+from granary.llm.hard_negatives import mine_hard_negatives
 from granary.llm.html_text import extract_text
 from granary.llm.jaccard_join import near_duplicates
 from granary.llm.language_model import score_documents
@@ -62,6 +63,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 50; where an id is divisible by 7, its label is first moved on by one of ten."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(encode_pieces(table(spark, sf_dir, "documents")))
 
@@ -78,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ngram_jaccard_join,
         op9_pii,
         op10_quality_classifier,
+        op12_hard_negatives,
         op13_sentence_pieces,
     ]
     return {f.__name__: f for f in found} | BASE_QUERIES
@@ -187,5 +195,18 @@ BASE_SQL = {
 }
 
 
+#: All scores of the anchors, their positives by rank, and the first rows of each window.
+HARD_NEGATIVES_SQL = """WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.id AS a, b.id AS b, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS s
+        FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0),
+    p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+    SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b)::INT AS rank,
+        n.b AS negative_id, p.s AS positive_score, n.s AS negative_score
+    FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+    QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_ngram_jaccard_join": NEAR_DUPLICATES_SQL} | BASE_SQL
+    return {"op8_ngram_jaccard_join": NEAR_DUPLICATES_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL} | BASE_SQL
