@@ -20,6 +20,7 @@ from granary.llm.quality_rules import judge_quality, trusted_documents
 from granary.llm.quality_ranker import rank_quality
 from granary.llm.secret_scan import scan_secrets
 from granary.llm.sentence_pieces import encode_pieces, piece_digests
+from granary.llm.vector_codes import compress_vectors
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the ids divisible by 50; where an id is divisible by 7, its label is first moved on by one of ten."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ngram_jaccard_join,
         op9_pii,
         op10_quality_classifier,
+        op11_vector_codes,
         op12_hard_negatives,
         op13_sentence_pieces,
     ]
@@ -195,6 +201,28 @@ BASE_SQL = {
 }
 
 
+def _codes_sql(rounds: int = 6) -> str:
+    """Parts as rows, and a pair of steps for each round: the nearest entry of each part, then the entries' means."""
+    nearest = """SELECT x.vec_id, x.part, arg_min(e.entry, (list_sum(list_transform(range(1, 9), lambda i: (x.x[i] - e.x[i]) * (x.x[i] - e.x[i]))), e.entry)) AS entry,
+        min(list_sum(list_transform(range(1, 9), lambda i: (x.x[i] - e.x[i]) * (x.x[i] - e.x[i]))))::BIGINT AS error
+        FROM x JOIN b{k} e ON x.part = e.part GROUP BY 1, 2"""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED ({nearest.format(k=k)})")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT part, entry, list(floor(s / n)::BIGINT ORDER BY c) AS x FROM (SELECT x.part, a.entry, c, sum(x.x[c]) AS s, count(*) AS n
+            FROM x JOIN a{k} a ON x.vec_id = a.vec_id AND x.part = a.part, range(1, 9) r(c) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+            b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m ON b.part = m.part AND b.entry = m.entry)""")
+    return f"""WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        x AS MATERIALIZED (SELECT vec_id, part, v[8 * part + 1 : 8 * part + 8] AS x FROM e, range(8) p(part)),
+        f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e ORDER BY vec_id LIMIT 16),
+        b0 AS (SELECT part, entry, x FROM x JOIN f USING (vec_id)), {", ".join(steps)},
+        c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM a{rounds} GROUP BY 1)
+        SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+        (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256 FROM c JOIN e USING (vec_id)"""
+
+
 #: All scores of the anchors, their positives by rank, and the first rows of each window.
 HARD_NEGATIVES_SQL = """WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -209,4 +237,4 @@ HARD_NEGATIVES_SQL = """WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_ngram_jaccard_join": NEAR_DUPLICATES_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL} | BASE_SQL
+    return {"op8_ngram_jaccard_join": NEAR_DUPLICATES_SQL, "op11_vector_codes": _codes_sql(), "op12_hard_negatives": HARD_NEGATIVES_SQL} | BASE_SQL

@@ -151,7 +151,10 @@ class PieceVocabulary:
         self.fixed = set(fixed)
         self.cuts = self._cuts()
         self.rows = None if self.unused or self.fixed else PairTable(self.ids, self.score, len(self.surface))
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Bytes below 128 are characters by themselves wherever they stand.
+        self.texts = [chr(x) if isinstance(x, int) and x < 128 else "" if isinstance(x, int) else x for x in self.surface]
+        self.is_high = np.array([isinstance(x, int) and x >= 128 for x in self.surface])
+        self.known: dict[str, bytes] = {}
         self.remember = remember
 
     def _cuts(self) -> re.Pattern | None:
@@ -231,26 +234,31 @@ class PieceVocabulary:
             if self.rows and len(part) <= SHORT:
                 by_length.setdefault(len(part), []).append(part)
             else:
-                self.known[part] = self.merge(part)
+                self.known[part] = np.array(self.merge(part), np.int32).tobytes()
         n = len(self.surface)
         for same in by_length.values():
             for at, symbols in self.rows.merge(same):
-                odd = (symbols >= n).any(1).tolist()
-                for k, ids, has_odd in zip(at.tolist(), map(tuple, symbols.tolist()), odd, strict=True):
-                    self.known[same[k]] = tuple(x for i in ids for x in ([i] if i < n else self._no_piece(chr(i - n)))) if has_odd else ids
+                width, data = 4 * symbols.shape[1], symbols.tobytes()
+                self.known.update(zip(map(same.__getitem__, at.tolist()), [data[i : i + width] for i in range(0, len(data), width)], strict=True))
+                for k in np.flatnonzero((symbols >= n).any(1)).tolist():
+                    ids = [x for i in symbols[k].tolist() for x in ([i] if i < n else self._no_piece(chr(i - n)))]
+                    self.known[same[at[k]]] = np.array(ids, np.int32).tobytes()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = map(self.normalize, texts)
         if self.cuts is None:
-            return [self._one_unknown(list(self.merge(t))) for t in whole]
+            return [self._one_unknown(np.array(self.merge(t), np.int32)) for t in whole]
         known, parts = self.known, list(map(self.cuts.findall, whole))
         self.merge_all([p for p in set().union(*parts) if p not in known])
-        ids = [list(itertools.chain.from_iterable(map(known.__getitem__, own))) for own in parts]
-        return list(map(self._one_unknown, ids))
+        get = known.__getitem__
+        return [self._one_unknown(np.frombuffer(b"".join(map(get, own)), np.int32)) for own in parts]
 
-    def _one_unknown(self, ids: list[int]) -> list[int]:
+    def _one_unknown(self, ids: np.ndarray) -> np.ndarray:
         """Unknown characters in a row are one id."""
-        return ids if self.bytes else [k for i, k in enumerate(ids) if k != self.unknown or not i or ids[i - 1] != k]
+        if self.bytes:
+            return ids
+        again = (ids == self.unknown) & (np.append(-1, ids[:-1]) == self.unknown)[: len(ids)]
+        return ids[~again]
 
     def forget(self) -> None:
         """Of the remembered parts keeps short ones, up to the bound."""
@@ -259,24 +267,19 @@ class PieceVocabulary:
         for part in [p for p in self.known if len(p) > 64]:
             del self.known[part]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of ids: bytes in a row are read as UTF-8, marks as spaces, without the space that encoding put first."""
-        surface, out, run = self.surface, [], bytearray()
-        for k in ids:
-            s = surface[k]
-            if isinstance(s, int):
-                run.append(s)
-            else:
-                if run:
-                    out.append(_utf8(bytes(run)))
-                    run.clear()
-                out.append(s)
-        if run:
-            out.append(_utf8(bytes(run)))
-        text = "".join(out)
+        if self.is_high[ids].any():
+            text = "".join(self._read(ids.tolist()))
+        else:
+            text = "".join(map(self.texts.__getitem__, ids.tolist()))
         if self.strips_all:
             return text.lstrip(" ")
-        return text[1:] if self.strips_first and text[:1] == " " and surface[ids[0]] != self.surface[self.unknown] else text
+        return text[1:] if self.strips_first and text[:1] == " " and ids[0] != self.unknown else text
+
+    def _read(self, ids: list[int]) -> Iterator[str]:
+        for is_byte, run in itertools.groupby(map(self.surface.__getitem__, ids), lambda s: isinstance(s, int)):
+            yield _utf8(bytes(run)) if is_byte else "".join(run)
 
 
 def _utf8(data: bytes) -> str:
@@ -297,13 +300,14 @@ def _vocabulary(path: str, remember: int) -> PieceVocabulary:
     return PieceVocabulary(path, remember)
 
 
-def encode_lot(vocabulary: PieceVocabulary, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+def encode_lot(vocabulary: PieceVocabulary, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
     """(ids, decoded texts), each equal to the library's."""
     ids = vocabulary.encode(texts)
     expected = vocabulary.library.encode(texts, num_threads=1)
     for text, own, other in zip(texts, ids, expected, strict=True):
-        if own != other:
+        if not np.array_equal(own, other):
             raise ValueError(f"ids differ from the library's for a text of {len(text)} characters that begins {text[:80]!r}")
+    del expected
     decoded = list(map(vocabulary.decode, ids))
     for text, own, other in zip(texts, decoded, vocabulary.library.decode(ids, num_threads=1), strict=True):
         if own != other:
@@ -317,10 +321,11 @@ def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path, remember)
-        for batch in in_lots(batches, 1):
+        for batch in in_lots(batches, 1, rows=2000, size=1_000_000):
             ids, decoded = encode_lot(vocabulary, [t or "" for t in batch.column(1).to_pylist()])
             vocabulary.forget()
-            columns = [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            columns = [batch.column(0), pa.ListArray.from_arrays(ends, np.concatenate(ids)), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
         vocabulary.known.clear()  # a Python worker lives on after the task
 
