@@ -62,16 +62,34 @@ class PairTable:
                 a, b = (ids.get(x) if len(x) > 1 else int(self.single[ord(x)]) for x in (piece[:i], piece[i:]))
                 if a is not None and b is not None:
                     found.append((a << _SIDE | b, ranks[score[piece]], k))
-        table = np.array(sorted(found), np.int64).reshape(-1, 3)
-        self.keys = np.append(table[:, 0], -1)
+        table = np.array(found, np.int64).reshape(-1, 3)
+        # Open addressing: a pair that finds its place taken goes on to the next one; empty places are -1.
+        self.bits = max(4, int(np.log2(len(table) + 1)) + 3)
+        self.keys, self.row = np.full(1 << self.bits, -1), np.full(1 << self.bits, len(table), np.int32)
+        at, waiting = self._place(table[:, 0]), np.arange(len(table))
+        while len(waiting):
+            free = self.keys[at[waiting]] < 0
+            self.keys[at[waiting[free]]], self.row[at[waiting[free]]] = table[waiting[free], 0], waiting[free]
+            waiting = waiting[self.row[at[waiting]] != waiting]
+            at[waiting] = (at[waiting] + 1) & len(self.keys) - 1
         self.rank, self.made = np.append(table[:, 1], _NONE).astype(np.int32), np.append(table[:, 2], 0).astype(np.int32)
 
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the golden ratio's bits
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, piece) of each pair; the last rank where it makes none."""
-        keys = left.astype(np.int64) << _SIDE | right
-        at = np.searchsorted(self.keys[:-1], keys)
-        at = np.where(self.keys[at] == keys, at, len(self.keys) - 1)
-        return self.rank[at], self.made[at]
+        keys = (left.astype(np.int64) << _SIDE | right).ravel()
+        at = self._place(keys)
+        there = self.keys[at]
+        on = np.flatnonzero((there != keys) & (there >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) & len(self.keys) - 1
+            there = self.keys[at[on]]
+            on = on[(there != keys[on]) & (there >= 0)]
+        row = self.row[at].reshape(left.shape)
+        return self.rank[row], self.made[row]
 
     def merge(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places, symbols in rows) of parts of one length, as their agendas end.
@@ -155,7 +173,7 @@ class PieceVocabulary:
         self.texts = [chr(x) if isinstance(x, int) and x < 128 else "" if isinstance(x, int) else x for x in self.surface]
         self.is_high = np.array([isinstance(x, int) and x >= 128 for x in self.surface])
         self.known: dict[str, bytes] = {}
-        self.remember = remember
+        self.remember, self.remembered = remember, 0
 
     def _cuts(self) -> re.Pattern | None:
         """Parts of a text that no piece reaches beyond; None where pieces have marks within or the user's own are there."""
@@ -229,6 +247,7 @@ class PieceVocabulary:
 
     def merge_all(self, parts: list[str]) -> None:
         """Remembers the ids of each part."""
+        self.remembered += sum(map(len, parts))
         by_length: dict[int, list[str]] = {}
         for part in parts:
             if self.rows and len(part) <= SHORT:
@@ -261,11 +280,10 @@ class PieceVocabulary:
         return ids[~again]
 
     def forget(self) -> None:
-        """Of the remembered parts keeps short ones, up to the bound."""
-        if len(self.known) > self.remember:
+        """Keeps what is remembered within its bound, also in characters."""
+        if len(self.known) > self.remember or self.remembered > 16 * self.remember:
             self.known.clear()
-        for part in [p for p in self.known if len(p) > 64]:
-            del self.known[part]
+            self.remembered = 0
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids: bytes in a row are read as UTF-8, marks as spaces, without the space that encoding put first."""
@@ -315,7 +333,7 @@ def encode_lot(vocabulary: PieceVocabulary, texts: list[str]) -> tuple[list[np.n
     return ids, decoded
 
 
-def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 200_000) -> DataFrame:
+def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 1_000_000) -> DataFrame:
     """(doc_id, ids, decoded): every whole text's ids, without begin and end ids, and the text that they decode to."""
     path = path or default_model()
 
@@ -327,7 +345,8 @@ def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 2
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             columns = [batch.column(0), pa.ListArray.from_arrays(ends, np.concatenate(ids)), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
-        vocabulary.known.clear()  # a Python worker lives on after the task
+        vocabulary.known.clear()
+        vocabulary.remembered = 0  # a Python worker lives on after the task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
