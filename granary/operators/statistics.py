@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import special
+from granary.operators.quantiles import exact_quantiles
 from granary.operators.windows import ranked_values, running_totals, with_average_rank
 
 
@@ -27,8 +28,7 @@ def unbiased_kurtosis(column: str) -> Column:
 
 def quartile_fences(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """One row: q1, q3, and the fences reach times their distance beyond them."""
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.75)))
-    row = df.agg(q.alias("q")).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    row = exact_quantiles(df, column, [0.25, 0.75], name="q").select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     gap = F.col("q3") - F.col("q1")
     return row.withColumn("low", F.col("q1") - reach * gap).withColumn("high", F.col("q3") + reach * gap)
 
@@ -82,9 +82,10 @@ def chi_square(df: DataFrame, x: str, y: str) -> TestResult:
 
 
 def levene(df: DataFrame, value: str, group: str) -> TestResult:
-    """Equal spread of groups, from distances to group medians."""
-    middle = df.groupBy(group).agg(F.percentile(value, 0.5).alias("_m"))
-    apart = df.join(middle, group).select(group, F.abs(F.col(value) - F.col("_m")).alias("d"))
+    """Equal spread of groups, from distances to group medians; rows without a group or value take no part."""
+    known = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+    middle = exact_quantiles(known, value, [0.5], [group], "_m").withColumn("_m", F.col("_m")[0])
+    apart = known.join(middle, group).select(group, F.abs(F.col(value) - F.col("_m")).alias("d"))
     own = apart.groupBy(group).agg(F.count("d").alias("n"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"))
     r = own.agg(
         F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"),

@@ -1,18 +1,19 @@
 """Running, rolling and rank-based columns.
 
-What runs over a whole table is computed by ranges: bounds of about equally many
-rows each come from a sketch of the values, a window runs within each range, and
-the ranges' totals, a few dozen rows, are added to what comes after them. No
-task holds all rows.
+What runs over a whole table is computed by ranges: Spark deals rows by ranges of
+the order and the tie keys together, so that rows of one value are split like any
+others; a window runs within each range, and the ranges' totals, a row for each,
+are added to what comes after them. No task holds all rows, and there are as many
+ranges as the session has shuffle partitions.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.stored import stored
+
 
 def rolling_mean(df: DataFrame, value: str, order: list[Column], rows: int, name: str, by: list[str] = ()) -> DataFrame:
     """Mean of the last ``rows`` rows; null until there are as many."""
@@ -20,12 +21,11 @@ def rolling_mean(df: DataFrame, value: str, order: list[Column], rows: int, name
     return df.withColumn(name, F.when(F.count(value).over(over) == rows, F.avg(value).over(over)))
 
 
-def running_totals(df: DataFrame, order: str, ties: list[str], sums: list[str], ranges: int = 64) -> DataFrame:
-    """Adds <name>_so_far for each of sums: its total over all rows up to this one by order (a number), then ties."""
-    wanted = [k / ranges for k in range(1, ranges)]
-    bounds = sorted(set(df.approxQuantile(order, wanted, 0.25 / ranges)))
-    place = functools.reduce(Column.__add__, [F.coalesce((F.col(order) > b).cast("int"), F.lit(0)) for b in bounds], F.lit(0))
-    dealt = df.withColumn("_range", place)
+def running_totals(df: DataFrame, order: str, ties: list[str], sums: list[str]) -> DataFrame:
+    """Adds <name>_so_far for each of sums: its total over all rows up to this one by order, then ties; nulls come first."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Stored, as ranges come from a sample that a second reading need not draw again.
+    dealt = stored(df.repartitionByRange(parts, order, *ties).withColumn("_range", F.spark_partition_id()), "ranges")
     own = dealt.groupBy("_range").agg(*(F.sum(c).alias(f"_t_{c}") for c in sums))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     shifts = own.select("_range", *(F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_t_{c}") for c in sums))

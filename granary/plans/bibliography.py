@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from granary.operators import multivariate, records
+from granary.operators.quantiles import exact_quantiles
 from granary.plans.catalog import query, table
 
 
@@ -154,18 +155,8 @@ def histogram_bins(spark, sf_dir):
     quantile_cont(p_retailprice, 0.75) AS q3, max(p_retailprice) AS high FROM part GROUP BY 1"""
 )
 def five_number_summary(spark, sf_dir):
-    q = lambda f: F.percentile("p_retailprice", f)
-    return table(spark, sf_dir, "part").groupBy("p_brand").agg(
-        F.min("p_retailprice").alias("low"), q(0.25).alias("q1"), q(0.5).alias("middle"), q(0.75).alias("q3"), F.max("p_retailprice").alias("high")
-    )
-
-
-@query(
-    """SELECT round(sum(p_retailprice * p_size), 2) AS stock_value, round(avg((p_retailprice - p_size) / p_retailprice), 6) AS margin_rate,
-    count(*) FILTER (p_size = 0) AS n_out FROM part"""
-)
-def stock_indicators(spark, sf_dir):
-    value, rate = F.col("p_retailprice") * F.col("p_size"), (F.col("p_retailprice") - F.col("p_size")) / F.col("p_retailprice")
-    return table(spark, sf_dir, "part").agg(
-        F.round(F.sum(value), 2).alias("stock_value"), F.round(F.avg(rate), 6).alias("margin_rate"), F.count_if(F.col("p_size") == 0).alias("n_out")
-    )
+    part, c = table(spark, sf_dir, "part"), "p_retailprice"
+    ends = part.groupBy("p_brand").agg(F.min(c).alias("low"), F.max(c).alias("high"))
+    q = exact_quantiles(part, c, [0.25, 0.5, 0.75], ["p_brand"])
+    both = ends.join(q, "p_brand")
+    return both.select("p_brand", "low", *(F.col("quantiles")[k].alias(n) for k, n in enumerate(("q1", "middle", "q3"))), "high")

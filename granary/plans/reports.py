@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.operators import multivariate, statistics
+from granary.operators.quantiles import exact_quantiles
 from granary.operators.windows import with_average_rank
 from granary.plans.catalog import query, table
 from granary.streaming.events import hourly_windows
@@ -38,12 +39,13 @@ def tukey_fences(spark, sf_dir):
     min(p_retailprice) AS low, quantile_cont(p_retailprice, 0.5) AS median, max(p_retailprice) AS high, round(kurtosis(p_retailprice), 6) AS kurtosis FROM part"""
 )
 def describe_price(spark, sf_dir):
-    c = "p_retailprice"
-    return table(spark, sf_dir, "part").agg(
+    c, part = "p_retailprice", table(spark, sf_dir, "part")
+    median = exact_quantiles(part, c, [0.5]).select(F.col("quantiles")[0]).scalar()
+    row = part.agg(
         F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("deviation"),
-        F.min(c).alias("low"), F.percentile(c, 0.5).alias("median"), F.max(c).alias("high"),
-        F.round(statistics.unbiased_kurtosis(c), 6).alias("kurtosis"),
+        F.min(c).alias("low"), F.max(c).alias("high"), F.round(statistics.unbiased_kurtosis(c), 6).alias("kurtosis"),
     )
+    return row.withColumn("median", median)
 
 
 @query("SELECT round(corr(l_quantity, l_extendedprice), 8) AS qp, round(corr(l_quantity, l_discount), 8) AS qd, round(corr(l_extendedprice, l_discount), 8) AS pd FROM lineitem")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -42,8 +42,20 @@ def read_optional_csv(spark: SparkSession, path: str, schema: str, sep: str = ",
     return spark.read.schema(schema).option("header", True).option("sep", sep).option("enforceSchema", True).csv(path)
 
 
-def read_terms(spark: SparkSession, path: str) -> DataFrame:
-    """(place, term): a term a line, without quotes and trailing comma, the first of repeated ones; an error if none."""
+def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
+    """The first of several candidate places that is there."""
+    for path in paths:
+        if exists(spark, path):
+            return path
+    raise FileNotFoundError(f"none of {', '.join(paths)}")
+
+
+def read_terms(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(place, term): a term a line, without quotes and trailing comma, the first of repeated ones; an error if none.
+
+    Of several paths the first that exists is read. place is the term's order in the file.
+    """
+    path = path if isinstance(path, str) else first_existing(spark, path)
     lines = spark.read.text(path, wholetext=True)
     parts = F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r?\n")
     terms = F.transform(parts, lambda x: F.trim(F.btrim(F.regexp_replace(F.trim(x), r"\s*,\s*$", ""), F.lit("\"'"))))
