@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from granary.functions import identifiers, isbn, text
+from granary.operators.hybrid import hybrid_documents
 from granary.plans.catalog import query, table
 from granary.sources.records import envelope, field_values, local_works, parsed_records
 
@@ -210,3 +211,39 @@ def search_envelopes(spark, sf_dir):
     found = envelope(pages.select("answer", xml.alias("xml")), "xml")
     ids = F.array_join(F.transform(F.array_sort(F.transform("ids", lambda x: x.cast("long"))), lambda x: x.cast("string")), " | ")
     return found.select("answer", "n_records", F.size("unchecked").cast("long").alias("n_unchecked"), ids.alias("ids"))
+
+
+_OTHER13 = " + ".join(f"CAST(substr('978' || lpad((p_partkey + 500000)::VARCHAR, 9, '0'), {i + 1}, 1) AS INT) * {1 + 2 * (i % 2)}" for i in range(12))
+
+
+@query(
+    f"""WITH n AS (SELECT p.*, '978' || b || c13 AS first, '978' || lpad((p.p_partkey + 500000)::VARCHAR, 9, '0') || ((10 - ({_OTHER13.replace("p_partkey", "p.p_partkey")}) % 10) % 10) AS second
+        FROM {_NUMBERS} JOIN part p USING (p_partkey)),
+    r AS (SELECT *, list_filter([CASE WHEN regexp_matches(p_name, '(^| )(red|hot|promo|large)( |$)') THEN 'title' END,
+        CASE WHEN p_type IN ('PROMO', 'LARGE') THEN 'subject' END, CASE WHEN p_partkey % 11 = 0 THEN 'place_of_publication' END], lambda x: x IS NOT NULL) AS why FROM n)
+    SELECT p_partkey, lpad(p_partkey::VARCHAR, 8, '0') || 'X' AS creator_ids,
+        unnest(CASE WHEN p_partkey % 4 = 0 THEN [first, second] ELSE [first] END) AS isbn,
+        array_to_string(list_sort([p_name, p_brand]), ' | ') AS title, 'Atelier Lyon' || ' | ' || p_brand || ' Ana' AS creators, p_type || ' press' AS publisher,
+        CASE WHEN p_partkey % 2 = 0 THEN 1900 + p_size WHEN p_partkey % 5 <> 0 THEN 1950 + p_size END AS year,
+        array_to_string(list_sort([p_type, 'x']), ' | ') AS subjects, CASE WHEN p_partkey % 11 = 0 THEN 'hot' ELSE 'hotel' END AS places, array_to_string(why, ' | ') AS reasons
+    FROM r WHERE len(why) > 0 AND p_partkey % 7 <> 0"""
+)
+def hybrid_record_index(spark, sf_dir):
+    """Records of all parts: some online, with numbers that fail their check, repeated, or written with hyphens."""
+    def field(tag: str, *subfields: tuple[str, Column | str]) -> list[Column]:
+        inner = [F.concat(F.lit(f'<subfield code="{k}">'), v if isinstance(v, Column) else F.lit(v), F.lit("</subfield>")) for k, v in subfields]
+        return [F.lit(f'<datafield tag="{tag}">'), *inner, F.lit("</datafield>")]
+
+    c, key = F.col, F.col("p_partkey")
+    number = isbn.isbn13_from_nine(F.lpad(key.cast("string"), 9, "0"))
+    other = F.when(key % 4 == 0, isbn.isbn13_from_nine(F.lpad((key + 500000).cast("string"), 9, "0"))).otherwise(number)
+    date = F.when(key % 5 == 0, F.lit("[s. d.] 19500")).otherwise(F.concat(F.lit("impr. "), (c("p_size") + 1950).cast("string")))
+    parts = [
+        F.lit("<record>"), *field("010", ("a", F.concat(F.lit("ISBN "), other))), *field("010", ("a", "9780000000001"), ("a", F.concat(F.left(number, F.lit(3)), F.lit("-"), F.substring(number, 4, 10)))),
+        *field("200", ("a", c("p_name")), ("e", F.concat(F.lit(" "), c("p_brand"))), ("f", "red hot")), *field("214", ("a", F.when(key % 11 == 0, "hot").otherwise("hotel")), ("c", F.concat("p_type", F.lit(" press"))), ("d", "s. d."), ("d", date)),
+        *field("606", ("a", c("p_type")), ("x", "x"), ("2", "promo"), ("3", "large")), *field("338", ("b", F.when(key % 7 == 0, " CR ").otherwise("nc"))),
+        *field("700", ("b", "Ana"), ("a", c("p_brand")), ("3", F.concat(F.lpad(key.cast("string"), 8, "0"), F.lit("x")))), *field("711", ("c", "Lyon"), ("a", "Atelier"), ("3", "none")), F.lit("</record>"),
+    ]
+    year = F.when(key % 2 == 0, c("p_size") + 1900)
+    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"), year.alias("known"))
+    return hybrid_documents(raw, "xml", ["red", "hot", "promo", "large"], "known")
