@@ -10,7 +10,7 @@ of score ranks, and each round merges the best pair of every row.
 No piece of a usual vocabulary has a word mark after another character, or holds
 certain characters beside others. Where no piece can reach across, merges on
 either side don't touch each other, so a text is cut there; the ids of short
-cuts are remembered, at most ``remember`` of them in a worker, until a task ends.
+cuts are remembered, at most ``remember`` of them in a worker, from one task to the next.
 
 Every lot of texts is checked against the sentencepiece library, ids and decoded
 texts alike; a difference raises an error, so no other result ever leaves a task.
@@ -333,7 +333,7 @@ def encode_lot(vocabulary: PieceVocabulary, texts: list[str]) -> tuple[list[np.n
     return ids, decoded
 
 
-def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 1_000_000) -> DataFrame:
+def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 600_000) -> DataFrame:
     """(doc_id, ids, decoded): every whole text's ids, without begin and end ids, and the text that they decode to."""
     path = path or default_model()
 
@@ -345,8 +345,6 @@ def encode_pieces(docs: DataFrame, *, path: str | None = None, remember: int = 1
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             columns = [batch.column(0), pa.ListArray.from_arrays(ends, np.concatenate(ids)), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
-        vocabulary.known.clear()
-        vocabulary.remembered = 0  # a Python worker lives on after the task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
