@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.operators import relational as R
 from granary.operators.quality import gate_counts
 from granary.plans.catalog import query, table
+from granary.sources.files import exists
+from granary.sources.sinks import read_partitions, upsert_partitions
+from granary.stored import removed, shared_dir
 
 
 @query(
@@ -216,6 +222,23 @@ def upsert_latest(spark, sf_dir):
     return R.upserted(old, events.filter("event_id % 2 = 1").groupBy(*keys).agg(F.max("value").alias("value")), keys)
 
 
+@query(
+    """SELECT user_id, event_type, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value FROM events
+    WHERE event_id % 3 <> 2 OR user_id % 5 = 0 GROUP BY 1, 2"""
+)
+def upsert_by_partition(spark, sf_dir):
+    """A table of the latest event of each user and type, first written from one third of events, then brought up to date."""
+    events, keys = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"]
+    path = f"{shared_dir(spark)}/granary/latest-{uuid.uuid4().hex}"
+    atexit.register(removed, spark, path)
+    for batch in ("event_id % 3 = 0", "event_id % 3 = 1 OR event_id % 3 = 0", "event_id % 3 = 2 AND user_id % 5 = 0"):
+        known = read_partitions(spark, path) if exists(spark, path) else events.limit(0)
+        late = known.select(*keys, F.col("event_id").alias("_known"))
+        newer = events.filter(batch).join(late, keys, "left").filter("_known IS NULL OR event_id > _known").drop("_known")
+        upsert_partitions(spark, path, newer, keys, order="event_id", parts=16)
+    return read_partitions(spark, path)
+
+
 @query(
     """SELECT count(*) AS n_rows, count(*) - count(value) AS n_missing, (SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM events
     GROUP BY user_id, ts)) AS n_repeated, count(*) FILTER (value < 1 OR value > 60) AS n_out_of_range FROM events"""
