@@ -69,3 +69,20 @@ def t_two_sided(t: float, freedom: float) -> float:
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
+
+
+def rank_sum_tail(u: int, a: int, b: int) -> float:
+    """Chance that U of two samples of a and b different values is at least u: orders are counted by a dynamic program.
+
+    The number of orders with a certain U is a coefficient of the product of (1 - q^(b + i)) / (1 - q^i) for i up to a.
+    """
+    a, b = min(a, b), max(a, b)
+    top = a * b
+    ways = [1] + [0] * top
+    for i in range(1, a + 1):
+        for k in range(top, b + i - 1, -1):
+            ways[k] -= ways[k - b - i]
+        for k in range(i, top + 1):
+            ways[k] += ways[k - i]
+    u = max(0, u)
+    return sum(ways[u:]) / math.comb(a + b, a)

@@ -110,22 +110,33 @@ def kruskal(df: DataFrame, value: str, group: str) -> TestResult:
     return TestResult(h, special.chi_square_tail(h, row["k"] - 1), row["k"] - 1)
 
 
+#: Values of the smaller sample, and products of both sizes, up to which orders are counted.
+FEW_VALUES, MOST_ORDERS = 8, 200_000
+
+
 def _mann_whitney(a: int, b: int, u: float, ties: float) -> TestResult:
-    """Two-sided, by the normal limit with correction for ties and continuity."""
+    """Two-sided: exact for a few values without ties, else by the normal limit with correction for ties and continuity."""
     n = a + b
+    if not ties and 0 < min(a, b) <= FEW_VALUES and a * b <= MOST_ORDERS:
+        return TestResult(u, min(1.0, 2 * special.rank_sum_tail(int(max(u, a * b - u)), a, b)))
     spread = math.sqrt(a * b / 12 * (n + 1 - ties / (n * (n - 1))))
     z = (max(u, a * b - u) - a * b / 2 - 0.5) / spread if spread else 0.0
     return TestResult(u, min(1.0, special.normal_two_sided(z)) if z > 0 else 1.0)
 
 
+MOST_GROUPS = 60
+
+
 def pairwise_mann_whitney(df: DataFrame, value: str, group: str, names: list | None = None) -> list[tuple[object, object, TestResult, float]]:
     """(first, second, result, p times the number of pairs) for every two groups, in one pass over the values.
 
-    U counts the pairs of rows in which first's value is larger, ties half. Groups are few: each is a column.
+    U counts the pairs of rows in which first's value is larger, ties half. Each group is a column: at most MOST_GROUPS.
     """
     known = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     if names is None:
-        names = sorted(r[0] for r in known.select(group).distinct().collect())
+        names = sorted(r[0] for r in known.select(group).distinct().limit(MOST_GROUPS + 1).collect())
+    if len(names) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups to compare with each other")
     known = known.filter(F.col(group).isin(names))
     place = [f"g{k}" for k in range(len(names))]
     own = [F.count_if(F.col(group) == name).alias(c) for c, name in zip(place, names, strict=True)]

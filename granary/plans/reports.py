@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import multivariate, statistics
 from granary.operators.quantiles import exact_quantiles
+from granary.operators.rank_matrix import rank_correlations
 from granary.operators.windows import with_average_rank
 from granary.plans.catalog import query, table
 from granary.streaming.events import hourly_windows
@@ -148,6 +149,88 @@ def chi2_test(spark, sf_dir):
     return spark.createDataFrame([(round(r.statistic, 5), float(r.freedom), round(r.p_value, 6))], "statistic double, freedom double, p double")
 
 
+def _integral(density: str, upper: str, steps: int = 4000) -> str:
+    """SQL for the integral of a density of x from 0 to upper, by Simpson's rule."""
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"({upper}) / {3 * steps} * list_sum(list_transform(range(0, {steps + 1}), lambda i: ({weight}) * {density.replace('x', f'(i * ({upper}) / {steps})')}))"
+
+
+#: Densities with the freedoms d and e as columns; "y" stands for the exponential's name, as x is the place.
+_F_DENSITY = "eyp(lgamma((d + e) / 2) - lgamma(d / 2) - lgamma(e / 2)) * pow(d / e, d / 2) * pow(x, d / 2 - 1) * pow(1 + d / e * x, -(d + e) / 2)"
+_CHI_DENSITY = "pow(x, d / 2 - 1) * eyp(-x / 2) / (pow(2, d / 2) * gamma(d / 2))"
+_T_DENSITY = "eyp(lgamma((d + 1) / 2) - lgamma(d / 2)) / sqrt(d * pi()) * pow(1 + x * x / d, -(d + 1) / 2)"
+
+
+def _tail(density: str, upper: str) -> str:
+    return f"1 - {_integral(density, upper)}".replace("eyp", "exp")
+
+
+@query(
+    f"""WITH d AS (SELECT p_type AS g, abs(p_retailprice - median(p_retailprice) OVER (PARTITION BY p_type)) AS d FROM part),
+    o AS (SELECT g, count(*) AS n, avg(d) AS m, var_pop(d) * count(*) AS q FROM d GROUP BY 1), a AS (SELECT avg(d) AS m, count(*) AS n FROM d),
+    s AS (SELECT count(*) - 1.0::DOUBLE AS d, any_value(a.n) - count(*)::DOUBLE AS e, sum(o.n * (o.m - a.m) ** 2) AS b, sum(q) AS w FROM o, a),
+    f AS (SELECT d, e, e / d * b / w AS f FROM s) SELECT round(f, 5) AS statistic, d AS freedom, round({_tail(_F_DENSITY, "f")}, 6) AS p FROM f"""
+)
+def levene_test(spark, sf_dir):
+    return _with_p(spark, statistics.levene(table(spark, sf_dir, "part"), "p_retailprice", "p_type"))
+
+
+@query(
+    f"""WITH g AS (SELECT sum(r) AS s, count(*) AS n FROM {_RANKS} GROUP BY p_type), n AS (SELECT count(*)::DOUBLE AS n FROM part),
+    t AS (SELECT sum(c ** 3 - c) AS t FROM (SELECT count(*)::DOUBLE AS c FROM part GROUP BY p_size)),
+    h AS (SELECT (12 / (n.n * (n.n + 1)) * (SELECT sum(s * s / n) FROM g) - 3 * (n.n + 1)) / (1 - t.t / (n.n ** 3 - n.n)) AS h,
+        (SELECT count(*) - 1.0::DOUBLE FROM g) AS d FROM n, t)
+    SELECT round(h, 5) AS statistic, d AS freedom, round({_tail(_CHI_DENSITY, "h")}, 6) AS p FROM h"""
+)
+def kruskal_test(spark, sf_dir):
+    return _with_p(spark, statistics.kruskal(table(spark, sf_dir, "part"), "p_size", "p_type"))
+
+
+def _with_p(spark, r: statistics.TestResult) -> DataFrame:
+    return spark.createDataFrame([(round(r.statistic, 5), float(r.freedom), round(r.p_value, 6))], "statistic double, freedom double, p double")
+
+
+_LINES = """(SELECT l_quantity AS quantity, l_extendedprice AS price, CASE WHEN l_linenumber <> 3 THEN l_discount END AS discount,
+    CASE WHEN l_quantity % 7 <> 0 THEN l_tax END AS tax FROM lineitem)"""
+_FOUR = ["quantity", "price", "discount", "tax"]
+_RHO = " UNION ALL ".join(
+    f"""SELECT '{a}' AS x, '{b}' AS y, count(*) AS n, corr(ra, rb) AS rho FROM (SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2 AS ra,
+    rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2 AS rb FROM {_LINES} WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""
+    for k, a in enumerate(_FOUR) for b in _FOUR[k + 1 :]
+)
+
+
+@query(
+    f"""WITH r AS ({_RHO}), t AS (SELECT x AS a, y AS b, n, rho, n - 2.0::DOUBLE AS d, abs(rho) * sqrt((n - 2) / (1 - rho * rho)) AS t FROM r)
+    SELECT a AS x, b AS y, n, round(rho, 8) AS rho, round(2 * ({_tail(_T_DENSITY, "t")}) - 1, 6) AS p FROM t"""
+)
+def spearman_matrix(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    four = lines.select(
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_discount")).alias("discount"), F.when(F.col("l_quantity") % 7 != 0, F.col("l_tax")).alias("tax"),
+    )
+    return rank_correlations(four, _FOUR).withColumns({"rho": F.round("rho", 8), "p": F.round("p", 6)})
+
+
+@query(
+    """WITH v AS (SELECT n_regionkey AS g, n_nationkey AS k, avg(c_acctbal) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+    p AS (SELECT a.g AS first, b.g AS second FROM (SELECT DISTINCT g FROM v) a JOIN (SELECT DISTINCT g FROM v) b ON a.g < b.g),
+    u AS (SELECT first, second, sum(CASE WHEN x.v > y.v THEN 1 ELSE 0 END)::BIGINT AS u, count(DISTINCT x.k) AS a, count(DISTINCT y.k) AS b
+        FROM p JOIN v x ON x.g = first JOIN v y ON y.g = second GROUP BY 1, 2),
+    s AS (SELECT *, greatest(u, a * b - u) AS most, unnest(range(0, (2 ** (a + b))::BIGINT)) AS chosen FROM u),
+    o AS (SELECT *, list_sum(list_transform(list_filter(range(0, a + b), lambda i: (chosen >> i) & 1 = 1), lambda i: i + 1)) - a * (a + 1) / 2 AS way
+        FROM s WHERE bit_count(chosen) = a)
+    SELECT first, second, any_value(u)::DOUBLE AS u, round(least(1, 2.0 * count(*) FILTER (way >= most) / count(*)), 6) AS p FROM o GROUP BY 1, 2"""
+)
+def mannwhitney_exact(spark, sf_dir):
+    """Nations' mean balances by region: few values without ties, so that all orders are counted."""
+    customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    means = customers.join(nations, customers.c_nationkey == nations.n_nationkey).groupBy("n_regionkey", "n_nationkey").agg(F.avg("c_acctbal").alias("v"))
+    found = statistics.pairwise_mann_whitney(means, "v", "n_regionkey")
+    return spark.createDataFrame([(a, b, r.statistic, round(r.p_value, 6)) for a, b, r, _ in found], "first int, second int, u double, p double")
+
+
 @query("SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER (), 6) AS p_size FROM part")
 def zscore_scaled(spark, sf_dir):
     out = statistics.standardized(table(spark, sf_dir, "part").withColumn("p_size", F.col("p_size").cast("double")), "p_size")
