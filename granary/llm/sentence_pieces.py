@@ -268,7 +268,7 @@ class PieceVocabulary:
         if self.cuts is None:
             return [self._one_unknown(np.array(self.merge(t), np.int32)) for t in whole]
         known, parts = self.known, list(map(self.cuts.findall, whole))
-        self.merge_all([p for p in set().union(*parts) if p not in known])
+        self.merge_all(list(set().union(*parts).difference(known)))
         get = known.__getitem__
         return [self._one_unknown(np.frombuffer(b"".join(map(get, own)), np.int32)) for own in parts]
 
@@ -285,12 +285,13 @@ class PieceVocabulary:
             self.known.clear()
             self.remembered = 0
 
-    def decode(self, ids: np.ndarray) -> str:
+    def decode(self, ids: np.ndarray, plain: list[int] | None = None) -> str:
         """Text of ids: bytes in a row are read as UTF-8, marks as spaces, without the space that encoding put first."""
+        plain = ids.tolist() if plain is None else plain
         if self.is_high[ids].any():
-            text = "".join(self._read(ids.tolist()))
+            text = "".join(self._read(plain))
         else:
-            text = "".join(map(self.texts.__getitem__, ids.tolist()))
+            text = "".join(map(self.texts.__getitem__, plain))
         if self.strips_all:
             return text.lstrip(" ")
         return text[1:] if self.strips_first and text[:1] == " " and ids[0] != self.unknown else text
@@ -321,13 +322,14 @@ def _vocabulary(path: str, remember: int) -> PieceVocabulary:
 def encode_lot(vocabulary: PieceVocabulary, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
     """(ids, decoded texts), each equal to the library's."""
     ids = vocabulary.encode(texts)
+    plain = [own.tolist() for own in ids]
     expected = vocabulary.library.encode(texts, num_threads=1)
-    for text, own, other in zip(texts, ids, expected, strict=True):
-        if not np.array_equal(own, other):
+    for text, own, other in zip(texts, plain, expected, strict=True):
+        if own != other:
             raise ValueError(f"ids differ from the library's for a text of {len(text)} characters that begins {text[:80]!r}")
     del expected
-    decoded = list(map(vocabulary.decode, ids))
-    for text, own, other in zip(texts, decoded, vocabulary.library.decode(ids, num_threads=1), strict=True):
+    decoded = list(map(vocabulary.decode, ids, plain))
+    for text, own, other in zip(texts, decoded, vocabulary.library.decode(plain, num_threads=1), strict=True):
         if own != other:
             raise ValueError(f"decoding differs from the library's for a text of {len(text)} characters that begins {text[:80]!r}")
     return ids, decoded
