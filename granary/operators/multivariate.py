@@ -44,29 +44,98 @@ def elbow(vectors: DataFrame, largest: int = 9, seeds: int = 3) -> list[tuple[in
     return [(1, float(sum(one)))] + [(k, best_kmeans(vectors, k, seeds).summary.trainingCost) for k in range(2, largest + 1)]
 
 
+def ward_linkage(points: np.ndarray, most: int = 20_000) -> np.ndarray:
+    """Ward's hierarchy of a matrix that fits in memory: (one, other, height, size) of each join, lowest first.
+
+    A join of row k makes the cluster n + k. Chains of nearest neighbours end in two clusters that are nearest to each
+    other; these are joined at once, and the chain goes on from what is left of it. Clusters are kept by their centres
+    alone, as the height of a join is sqrt(2ab / (a + b)) times the distance of centres; so time is quadratic, memory linear.
+    """
+    n = len(points)
+    if n > most:
+        raise ValueError(f"Ward's method takes time by the square of rows; {n} are more than {most}, summarize first")
+    centre, size, alive = np.array(points, float), np.ones(n), np.ones(n, bool)
+    joins, chain = [], []
+    while len(joins) < n - 1:
+        if not chain:
+            chain.append(int(alive.argmax()))
+        last = chain[-1]
+        gap = ((centre - centre[last]) ** 2).sum(1) * (2 * size * size[last] / (size + size[last]))
+        gap[~alive] = np.inf
+        gap[last] = np.inf
+        near = int(gap.argmin())
+        if len(chain) > 1 and gap[chain[-2]] <= gap[near]:  # the one before is as near: no way on
+            near = chain[-2]
+            del chain[-2:]
+            i, j = sorted((last, near))
+            joins.append((i, j, float(np.sqrt(gap[near]))))
+            both = size[i] + size[j]
+            centre[i] = (size[i] * centre[i] + size[j] * centre[j]) / both
+            size[i], alive[j] = both, False
+        else:
+            chain.append(near)
+    out, name, count = np.zeros((max(n - 1, 0), 4)), list(range(n)), [1] * n
+    for k, (i, j, height) in enumerate(sorted(joins, key=lambda x: x[2])):
+        out[k] = (*sorted((name[i], name[j])), height, count[i] + count[j])
+        name[i], count[i] = n + k, count[i] + count[j]
+    return out
+
+
 def ward_clusters(points: np.ndarray, distance: float) -> list[int]:
-    """Labels of a cut at ``distance`` of Ward's hierarchy, for a matrix that fits in memory (5 000 rows at most)."""
+    """Labels of a cut of Ward's hierarchy at ``distance``, in the order in which clusters come first."""
     n = len(points)
-    if n > 5000:
-        raise ValueError("Ward's method needs all distances; summarize first")
-    gap = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
-    np.fill_diagonal(gap, np.inf)
-    size, label, alive = np.ones(n), np.arange(n), np.ones(n, bool)
-    while alive.sum() > 1:
-        i, j = divmod(int(gap.argmin()), n)
-        low = gap[i, j]
-        if low > distance:
-            break
-        others = alive.copy()
-        others[[i, j]] = False
-        a, b, c = size[i], size[j], size[others]
-        joined = ((a + c) * gap[i, others] ** 2 + (b + c) * gap[j, others] ** 2 - c * low**2) / (a + b + c)
-        gap[i, others] = gap[others, i] = np.sqrt(joined)
-        gap[j], gap[:, j] = np.inf, np.inf
-        size[i], alive[j] = a + b, False
-        label[label == j] = i
-    names = {v: k for k, v in enumerate(dict.fromkeys(label.tolist()))}
-    return [names[v] for v in label.tolist()]
+    above = list(range(2 * n))
+    for k, (i, j, height, _) in enumerate(ward_linkage(points)):
+        if height <= distance:
+            above[int(i)] = above[int(j)] = n + k
+    for k in range(2 * n - 1, -1, -1):
+        above[k] = above[above[k]]
+    names: dict[int, int] = {}
+    return [names.setdefault(above[k], len(names)) for k in range(n)]
+
+
+def top_levels(links: np.ndarray, levels: int = 3) -> list[tuple[int, int, int | None, float, int]]:
+    """(node, level, parent, height, size) of the root at level 0 and what is at most so many levels below it."""
+    n = len(links) + 1
+    out, todo = [], [(2 * n - 2, 0, None)]
+    while todo:
+        node, level, parent = todo.pop(0)
+        own = links[node - n] if node >= n else None
+        out.append((node, level, parent, float(own[2]) if own is not None else 0.0, int(own[3]) if own is not None else 1))
+        if own is not None and level < levels:
+            todo += [(int(own[k]), level + 1, node) for k in (0, 1)]
+    return out
+
+
+def labelled(vectors: DataFrame, model: KMeansModel, name: str = "cluster") -> DataFrame:
+    """vectors with letters for clusters, from a on by their centres' first component, then the next ones.
+
+    The order of a fit's clusters is an accident; that of their centres is not.
+    """
+    order = sorted(range(len(model.clusterCenters())), key=lambda k: tuple(model.clusterCenters()[k]))
+    letters = F.array(*(F.lit(chr(97 + order.index(k))) for k in range(len(order))))
+    out = model.transform(vectors)
+    return out.withColumn(name, F.get(letters, F.col("prediction"))).drop("prediction")
+
+
+def richest_cluster(df: DataFrame, measure: str, cluster: str = "cluster") -> DataFrame:
+    """The rows of the cluster with the greatest mean of a measure, the first by name of equal ones."""
+    means = df.groupBy(cluster).agg(F.avg(measure).alias("_m")).filter("_m IS NOT NULL")
+    best = means.agg(F.min(F.struct(-F.col("_m"), F.col(cluster).alias("_c")))["_c"]).scalar()
+    return df.filter(F.col(cluster) == best)
+
+
+def refined(targets: DataFrame, everyone: DataFrame, above_mean: list[str], above: dict[str, float], without: dict[str, list]) -> DataFrame:
+    """Rows of targets beyond each bound: the mean of everyone's values, or a number; and without listed values."""
+    means = everyone.agg(F.struct(*(F.avg(c).alias(c) for c in above_mean) or [F.lit(0).alias("_")])).scalar()
+    out = targets.withColumn("_means", means)
+    for c in above_mean:
+        out = out.filter(F.col(c) > F.col(f"_means.`{c}`"))
+    for c, bound in above.items():
+        out = out.filter(F.col(c) > bound)
+    for c, values in without.items():
+        out = out.filter(~F.col(c).isin(*values))
+    return out.drop("_means")
 
 
 def normalized(df: DataFrame, *columns: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.functions.normal import MIDDLE, TAIL
 from granary.operators import multivariate, statistics
+from granary.operators.fits import BOUND, HALF, density_bins, huber_line, quantile_pairs
 from granary.operators.quantiles import exact_quantiles
 from granary.operators.rank_matrix import rank_correlations
 from granary.operators.windows import with_average_rank
@@ -283,3 +285,102 @@ def ward_cut(spark, sf_dir):
 
     labels = multivariate.ward_clusters(np.array([[r["a"], r["b"]] for r in rows]), 2.0)
     return spark.createDataFrame([(r["c_nationkey"], k) for r, k in zip(rows, labels, strict=True)], "nation int, cluster int")
+
+
+def _spending(spark, sf_dir) -> DataFrame:
+    """Customers with orders: balance, and the logarithm of what they spent."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    spent = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.log1p(F.sum("o_totalprice")).alias("spent"))
+    return customers.join(spent, "c_custkey").select("c_custkey", F.col("c_acctbal").alias("balance"), "spent")
+
+
+_SPENDING = "(SELECT c_custkey, c_acctbal AS x, s AS y FROM customer JOIN (SELECT o_custkey, ln(1 + sum(o_totalprice)) AS s FROM orders GROUP BY 1) ON c_custkey = o_custkey WHERE c_acctbal IS NOT NULL AND s IS NOT NULL)"
+
+
+def _huber_sql(rounds: int) -> str:
+    """The plain fit, then for each round the residuals, their scale, weights and the weighted fit."""
+    line = """SELECT (sum(w * y) - b * sum(w * x)) / sum(w) AS a, b FROM {rows}, (SELECT (sum(w * (x - mx) * (y - my)) - sum(w * (x - mx)) * sum(w * (y - my)) / sum(w))
+        / (sum(w * (x - mx) ** 2) - sum(w * (x - mx)) ** 2 / sum(w)) AS b FROM {rows}, m) GROUP BY b"""
+    steps = [f"d AS MATERIALIZED {_SPENDING}", "m AS (SELECT avg(x) AS mx, avg(y) AS my FROM d)", "w0 AS (SELECT x, y, 1.0::DOUBLE AS w FROM d)", f"p0 AS MATERIALIZED ({line.format(rows='w0')})"]
+    for k in range(1, rounds + 1):
+        steps += [
+            f"r{k} AS MATERIALIZED (SELECT x, y, abs(y - (a + b * x)) AS r FROM d, p{k - 1})",
+            f"s{k} AS MATERIALIZED (SELECT median(r) / {HALF} AS s FROM r{k})",
+            f"w{k} AS MATERIALIZED (SELECT x, y, CASE WHEN r <= {BOUND} * s THEN 1.0 ELSE {BOUND} * s / r END::DOUBLE AS w FROM r{k}, s{k})",
+            f"p{k} AS MATERIALIZED ({line.format(rows=f'w{k}')})",
+        ]
+    return f"WITH {', '.join(steps)} SELECT round(a, 8) AS intercept, round(b, 12) AS slope, round(s, 8) AS scale FROM p{rounds}, s{rounds}"
+
+
+@query(_huber_sql(4))
+def robust_line(spark, sf_dir):
+    line = huber_line(_spending(spark, sf_dir), "balance", "spent", rounds=4, tolerance=0.0)
+    return spark.createDataFrame([(round(line.intercept, 8), round(line.slope, 12), round(line.scale, 8))], "intercept double, slope double, scale double")
+
+
+def _polynomials(own: tuple[list[float], list[float]], r: str) -> str:
+    over, under = (" + ".join(f"{c!r} * pow({r}, {k})" for k, c in enumerate(part)) for part in own)
+    return f"({over}) / ({under})"
+
+
+_INVERSE = f"""CASE WHEN abs(p - 0.5) <= 0.425 THEN (p - 0.5) * {_polynomials(MIDDLE, "(0.180625 - (p - 0.5) * (p - 0.5))")}
+    ELSE sign(p - 0.5) * {_polynomials(TAIL, "(sqrt(-ln(least(p, 1 - p))) - 1.6)")} END"""
+
+
+@query(
+    f"""WITH v AS (SELECT c_custkey, c_acctbal AS v, row_number() OVER (ORDER BY c_acctbal, c_custkey) / (count(*) OVER () + 1.0::DOUBLE) AS p,
+        avg(c_acctbal) OVER () AS m, stddev_pop(c_acctbal) OVER () AS s FROM customer WHERE c_acctbal IS NOT NULL)
+    SELECT c_custkey, v AS c_acctbal, round({_INVERSE}, 8) AS theoretical, round(m + s * ({_INVERSE}), 4) AS line FROM v"""
+)
+def normal_quantile_pairs(spark, sf_dir):
+    pairs = quantile_pairs(table(spark, sf_dir, "customer"), "c_acctbal", "c_custkey")
+    return pairs.withColumns({"theoretical": F.round("theoretical", 8), "line": F.round("line", 4)})
+
+
+@query(
+    """WITH a AS (SELECT min(c_acctbal) AS a, max(c_acctbal) AS b, count(c_acctbal) AS n, avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer),
+    k AS (SELECT least(floor((c_acctbal - a) / (b - a) * 10), 9)::INT AS bin, count(*) AS n FROM customer, a WHERE c_acctbal IS NOT NULL GROUP BY 1),
+    e AS (SELECT i::INT AS bin, a + i * (b - a) / 10 AS low, (b - a) / 10 AS w, a.n AS every, m, s FROM range(10) r(i), a)
+    SELECT e.bin, round(low, 4) AS low, coalesce(k.n, 0) AS n, round(coalesce(k.n, 0) / (every * w), 10) AS density,
+    round(exp(-((low + w / 2 - m) / s) ** 2 / 2) / (s * sqrt(2 * pi())), 10) AS fitted FROM e LEFT JOIN k ON e.bin = k.bin"""
+)
+def normal_fit_bins(spark, sf_dir):
+    bins = density_bins(table(spark, sf_dir, "customer"), "c_acctbal")
+    return bins.select("bin", F.round("low", 4).alias("low"), "n", F.round("density", 10).alias("density"), F.round("fitted", 10).alias("fitted"))
+
+
+_PROFILE = ["spent", "balance", "orders", "size"]
+
+
+def _nation_profiles(spark, sf_dir) -> DataFrame:
+    """What nations' customers are like: a row for each nation."""
+    orders, customers, nations = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    own = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("o_totalprice").alias("spent"), F.count("*").alias("orders"))
+    by = customers.join(own, "c_custkey", "left").groupBy("c_nationkey").agg(
+        F.avg("spent").alias("spent"), F.avg("c_acctbal").alias("balance"), F.avg(F.coalesce("orders", F.lit(0))).alias("orders"), F.count("*").cast("double").alias("size")
+    )
+    return by.join(nations, by.c_nationkey == nations.n_nationkey).select("n_nationkey", "n_name", *_PROFILE)
+
+
+@query()
+def target_nations(spark, sf_dir):
+    """Nations of the richest of three clusters that also score above the mean, with more customers than the mean."""
+    profiles = _nation_profiles(spark, sf_dir).dropna()
+    scored = multivariate.normalized(profiles, "spent", "balance").withColumn("score", 0.6 * F.col("spent") + 0.4 * F.col("balance")).select("n_nationkey", "score")
+    vectors = multivariate.assembled(profiles, _PROFILE)
+    model = multivariate.best_kmeans(vectors.select("features"), 3)
+    named = multivariate.labelled(vectors, model).select("n_nationkey", "cluster")
+    every = profiles.join(named, "n_nationkey").join(scored, "n_nationkey")
+    chosen = multivariate.refined(multivariate.richest_cluster(every, "spent"), every, ["score"], {"size": 0.0}, {"n_name": ["FRANCE"]})
+    return chosen.select("n_nationkey", "n_name", "cluster", F.round("score", 6).alias("score"))
+
+
+@query()
+def ward_levels(spark, sf_dir):
+    """The top three levels of the nations' hierarchy."""
+    rows = statistics.standardized(_nation_profiles(spark, sf_dir).dropna(), *_PROFILE).orderBy("n_nationkey").collect()  # a row for each nation
+    import numpy as np
+
+    links = multivariate.ward_linkage(np.array([[r[c] or 0.0 for c in _PROFILE] for r in rows]))
+    found = [(level, node, parent, round(height, 6), size) for node, level, parent, height, size in multivariate.top_levels(links)]
+    return spark.createDataFrame(found, "level int, node int, parent int, height double, size int")
