@@ -21,7 +21,7 @@ def vocabulary():
 def test_ids_and_texts_are_the_librarys(vocabulary, prose):
     draw = random.Random(3)
     mixed = ["".join(draw.choices("aethino rs\n▁.é中😀\t ", k=draw.randint(0, 80))) for _ in range(400)]
-    ids, decoded = S.encode_lot(vocabulary, [*TEXTS, *mixed, *prose(10, 4)])  # raises on a difference
+    ids, decoded = S.encode_lot(vocabulary, [*TEXTS, *mixed, *prose(10, 4)], whole_texts=True)  # raises on a difference
     assert decoded[3] == TEXTS[3] and len(ids) == len(decoded)
 
 
@@ -62,7 +62,19 @@ def test_table_with_odd_rows(make, odd):
     assert S.encode_pieces(make({})).count() == 0
 
 
-def test_a_wrong_id_is_an_error(vocabulary, monkeypatch):
+def test_a_wrong_id_is_an_error(monkeypatch, vocabulary):
+    own = S.PieceVocabulary(S.default_model(), 1000)
+    merge = own.rows.merge
+    monkeypatch.setattr(own.rows, "merge", lambda parts: ((at, symbols[:, ::-1].copy()) for at, symbols in merge(parts)))
+    with pytest.raises(ValueError, match="differ"):
+        S.encode_lot(own, ["Hello, antidisestablishment"])
     monkeypatch.setattr(vocabulary, "encode", lambda texts: [np.array([5]) for _ in texts])
     with pytest.raises(ValueError, match="differ"):
-        S.encode_lot(vocabulary, ["Hello"])
+        S.encode_lot(vocabulary, ["Hello"], whole_texts=True)
+
+
+@pytest.mark.parametrize("text", ["▁", " ", "\n", "\n\n x", "x\n\ny", "é\x00é  b", "<s>"])
+def test_cuts_are_checked_wherever_they_stand(text):
+    own = S.PieceVocabulary(S.default_model(), 1000)
+    S.encode_lot(own, [text, "a " + text, text + " a", text * 3], whole_texts=True)
+    own.check(list(own.known))
