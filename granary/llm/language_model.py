@@ -5,10 +5,12 @@ vocabulary with its output classes, and the starting biases. The model is a GRU
 whose softmax is factored into a class and a word within it. It is trained by
 truncated backpropagation in numpy over every training document: each round has
 its share of them, trainers each take some of its rows and carry the state from
-window to window, and their parameters are averaged after the round. The number
-of trainers follows the number of tokens alone, so that scores do not depend on
-how many partitions a session uses. Scoring
-carries the state through whole documents. Words outside the vocabulary count as one symbol of the model times their share
+window to window, and their parameters are averaged after the round, in steps of a
+few trainers each. Rows are dealt by a hash of what they hold, in whose order a
+trainer takes them; equal rows by the number of the copy too, so that they spread.
+The number of trainers, and the cuts of a trainer's stream, follow the tokens. So
+scores depend neither on partitions and splits of files nor on Arrow's batches.
+Scoring carries the state through whole documents. Words outside the vocabulary count as one symbol of the model times their share
 among such words by counts.
 
 The ``known_words`` most frequent words are broadcast; the counts of the others
@@ -31,10 +33,11 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import in_lots, materialize
+from granary.llm.common import discard, in_lots, materialize
 from granary.llm.quality_ranker import held_out
 
 #: The end token: no word is empty.
@@ -315,17 +318,48 @@ def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarr
     return np.fromiter(map(place.get, tokens, repeat(unknown)), np.int64, len(tokens))
 
 
+def with_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, copy): equal rows are numbered from 0, others have 0. Equal rows are counted by their hashes first;
+    where there are any, they are grouped in the tasks that read them, and set apart again by their count."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    again = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("again")), "copies")
+    if again.isEmpty():
+        discard(again)
+        return keyed.select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
+    single = keyed.join(again, F.col("key") == F.col("again"), "left_anti").select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
+    several = keyed.join(again, F.col("key") == F.col("again"), "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    return single.unionByName(several.select("doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy")))
+
+
+def averaged(found: DataFrame, trainers: int, few: int = 32) -> DataFrame:
+    """(at, v): means of the trainers' blocks by their tokens, from (trainer, at, n, v). At most ``few`` are gathered at a
+    time, in the trainers' order, until one of each block is left."""
+
+    def average(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("trainer", kind="stable")
+        total = np.zeros(BLOCK)
+        for v, n in zip(group.v, group.n, strict=True):
+            total += np.asarray(v, float) * n
+        n = int(group.n.sum())
+        return pd.DataFrame({"trainer": group["trainer"].iloc[:1] // few, "at": group["at"].iloc[:1], "n": [n], "v": [total / n]})
+
+    while trainers > 1:
+        by = found.groupBy("at", F.floor(F.col("trainer") / few).alias("step"))
+        found, trainers = by.applyInPandas(average, "trainer long, at int, n long, v array<double>"), -(-trainers // few)
+    return found.select("at", "v")
+
+
 def train_model(
-    docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, trainers: int, part: int | None = None
+    docs: DataFrame, model: Model, place: dict[bytes, int], *, rounds: int, trainers: int, part: int | None = None, lot_tokens: int = 1_000_000
 ) -> Model:
     """Averages ``trainers`` trainers' parameters after each of ``rounds`` rounds over docs (doc_id, text).
 
-    Each document is learned from in one of the rounds; with part, only one document in part in each round.
-    The round goes by content, so that none is missed if rows come in another order; trainers are dealt rows,
-    so that copies of a text do not meet at one, and take them in the order of a hash.
+    Each document is learned from in one of the rounds; with part, only one document in part in each round. A trainer
+    learns whenever its stream has lot_tokens more, and from what is left at its end.
     """
     spark = docs.sparkSession
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(part or rounds))
+    rows = with_copies(docs)
+    drawn = F.pmod(F.xxhash64("doc_id", "text", "copy"), F.lit(part or rounds))
     for turn in range(rounds):
         held = spark.sparkContext.broadcast((model, place))
 
@@ -333,26 +367,31 @@ def train_model(
             own, words = held.value
             own = own.with_blocks(own.blocks().copy())
             n, squares, unknown = 0, {}, words[None]
+            waiting, size = [], 0
             for lot in in_lots(batches, 0, rows=2000, size=8_000_000):
-                n += own.train([_ids(tokens_of(t), words, unknown) for t in lot.column(0).cast(pa.binary()).to_pylist()], squares=squares)
+                for text in lot.column(0).cast(pa.binary()).to_pylist():
+                    waiting.append(_ids(tokens_of(text), words, unknown))
+                    size += len(waiting[-1])
+                    if size >= lot_tokens:
+                        n += own.train(waiting, squares=squares)
+                        waiting, size = [], 0
+            n += own.train(waiting, squares=squares)
             if n:
-                rows = own.blocks().astype(np.float32)
-                values = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), BLOCK).cast(pa.list_(pa.float32()))
-                at = pa.array(np.arange(len(rows), dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([at, pa.array(np.full(len(rows), n)), values], ["at", "n", "v"])
-
-        def average(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values("n", kind="stable")
-            mean = np.average(np.stack(group.v), axis=0, weights=group.n)
-            return pd.DataFrame({"at": group["at"].iloc[:1], "v": [mean.astype(np.float32)]})
-
-        row = F.xxhash64(F.monotonically_increasing_id(), F.lit(turn))
-        dealt = docs.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row")
+                blocks = own.blocks().astype(float)
+                values = pa.FixedSizeListArray.from_arrays(pa.array(blocks.ravel()), BLOCK).cast(pa.list_(pa.float64()))
+                at = pa.array(np.arange(len(blocks), dtype=np.int32))
+                same = [pa.array(np.full(len(blocks), x)) for x in (TaskContext.get().partitionId(), n)]
+                yield pa.RecordBatch.from_arrays([same[0], at, same[1], values], ["trainer", "at", "n", "v"])
+
+        row = F.xxhash64("doc_id", "text", "copy", F.lit(turn))
+        dealt = rows.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row")
         dealt = dealt.sortWithinPartitions("row").select("text")
-        found = dealt.mapInArrow(run, "at int, n long, v array<float>").groupBy("at")
-        rows = found.applyInPandas(average, "at int, v array<float>").toPandas()
-        if len(rows):
-            model = model.with_blocks(np.stack(rows.sort_values("at").v))
+        found = materialize(dealt.mapInArrow(run, "trainer long, at int, n long, v array<double>"), "trainers")
+        tasks = (found.agg(F.max("trainer")).first()[0] or 0) + 1
+        blocks = averaged(found, tasks).toPandas()
+        discard(found)
+        if len(blocks):
+            model = model.with_blocks(np.stack(blocks.sort_values("at").v))
     return model
 
 

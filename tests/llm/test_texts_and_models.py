@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from granary.llm.html_text import extract_text, visible_text
-from granary.llm.language_model import Model, score_documents, tokens_of, train_model
+from granary.llm.language_model import Model, averaged, score_documents, tokens_of, train_model, with_copies
 from granary.llm.pii import KINDS, LOOK_ALIKE, find_spans, plain_spans, redact, redacted, rewrite, scan_pii
 from granary.llm.quality_ranker import fit_ranker, rank_quality
 
@@ -188,6 +188,40 @@ def test_scores_do_not_hang_on_partitions_and_beat_the_base(make, spark):
     assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
 
 
+def test_scores_hang_neither_on_files_nor_on_arrow_batches(make, spark, tmp_path, prose):
+    texts = [*enumerate(prose(120, 3, 60)), (None, "same words again"), (None, "same words again"), (5, "same words again"), (5, "same words again")]
+    make(texts).coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/one")
+    make(texts).repartition(8).write.parquet(f"{tmp_path}/eight")
+    runs = []
+    for path, batch, split in (("one", "10000", "128m"), ("one", "7", "3k"), ("eight", "200", "128m")):
+        keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch, "spark.sql.files.maxPartitionBytes": split}
+        was = {k: spark.conf.get(k) for k in keys}
+        try:
+            for k, v in keys.items():
+                spark.conf.set(k, v)
+            rows = score_documents(spark.read.parquet(f"{tmp_path}/{path}"), trainer_tokens=1000).collect()
+        finally:
+            for k, v in was.items():
+                spark.conf.set(k, v)
+        runs.append(sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in rows))
+    for other in runs[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in runs[0]]
+        assert [r[3] for r in other] == pytest.approx([r[3] for r in runs[0]], rel=1e-6)
+
+
+def test_copies_are_numbered_and_averages_taken_in_steps(make, spark):
+    texts = [(1, "a"), (2, "a"), (None, None), (None, None), (3, "b"), (3, "b"), (3, "b"), (3, "c")]
+    rows = with_copies(make(texts).select("doc_id", "text")).collect()
+    assert sorted(((r.doc_id or 0, r.text or "", r["copy"]) for r in rows)) == [(0, "", 0), (0, "", 1), (1, "a", 0), (2, "a", 0), (3, "b", 0), (3, "b", 1), (3, "b", 2), (3, "c", 0)]
+    draw = np.random.default_rng(4)
+    blocks = [(t, at, int(draw.integers(1, 9)), draw.normal(size=1024)) for t in range(23) for at in range(2)]
+    found = spark.createDataFrame([(t, at, n, v.tolist()) for t, at, n, v in blocks], "trainer long, at int, n long, v array<double>")
+    for few in (2, 5, 32):
+        for r in averaged(found, 23, few).collect():
+            own = [(n, v) for _, at, n, v in blocks if at == r["at"]]
+            assert np.allclose(r["v"], sum(n * v for n, v in own) / sum(n for n, _ in own))
+
+
 def test_model_is_a_distribution_and_learns():
     model, every = Model.start(np.ones(16), 4, 4), np.arange(16)
     assert np.exp(model.log_probabilities(np.zeros((16, 4), np.float32), every)).sum() == pytest.approx(1, abs=1e-5)
