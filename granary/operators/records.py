@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.text import SEPARATOR, sorted_distinct
+from granary.stored import dropped, stored
 
 
 def merged_by_id(df: DataFrame, id_column: str, sets: list[str], firsts: list[str], order: str) -> DataFrame:
@@ -33,18 +34,21 @@ def wide_values(df: DataFrame, id_column: str, kind: str, value: str, kinds: lis
 def place_closure(parents: DataFrame, root: int, depth: int = 60) -> DataFrame:
     """(place) for root and everything below it in (place, parent), by repeated joins until nothing is new.
 
-    The frontier alone is joined in each round, and kept so that the rounds before are not run again. A hierarchy
-    of more than ``depth`` levels raises an error.
+    The frontier alone is joined in each round. It and what is found are stored, so that a round neither runs those
+    before it again nor unites all of them; the tables before are deleted. A hierarchy of more than ``depth`` levels
+    raises an error.
     """
     frontier = parents.sparkSession.createDataFrame([(root,)], "place long")
-    found = frontier
+    found = stored(frontier, "places")
     for _ in range(depth):
         above = frontier.withColumnRenamed("place", "parent")
         below = parents.join(above, "parent", "left_semi").select("place").distinct()
-        frontier = below.join(found, "place", "left_anti").persist()
+        last, frontier = frontier, stored(below.join(found, "place", "left_anti"), "frontier")
         if frontier.isEmpty():
+            dropped(last, frontier)
             return found
-        found = found.unionByName(frontier)
+        found, before = stored(found.unionByName(frontier), "places"), found
+        dropped(last, before)
     raise RuntimeError(f"more than {depth} levels below {root}")
 
 

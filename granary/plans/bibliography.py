@@ -32,13 +32,13 @@ def enrichment_by_item(spark, sf_dir):
 
 
 @query(
-    """SELECT DISTINCT l_partkey AS part, l_suppkey AS party, 'supplies' AS relation FROM lineitem WHERE l_quantity > 40
-    UNION ALL SELECT DISTINCT l_partkey, o_custkey, 'buys' FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 40
+    """SELECT DISTINCT l_partkey AS part, l_suppkey AS party, 'supplies' AS relation FROM lineitem
+    UNION ALL SELECT DISTINCT l_partkey, o_custkey, 'buys' FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     UNION ALL SELECT DISTINCT l_partkey, o_custkey, 'returns' FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_quantity > 40 AND l_returnflag = 'R'"""
+    WHERE l_returnflag = 'R'"""
 )
 def united_relations(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").filter("l_quantity > 40")
+    lines = table(spark, sf_dir, "lineitem")
     bought = lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     pick = lambda df, party: df.select(F.col("l_partkey").alias("part"), F.col(party).alias("party"))
     return records.united_relations(

@@ -190,8 +190,8 @@ def local_records(spark, sf_dir):
 
 
 @query(
-    """SELECT p_size AS answer, count(*) AS n_records, count(*) FILTER (p_partkey % 5 = 0) AS n_unchecked,
-    string_agg(p_partkey::VARCHAR, ' | ' ORDER BY p_partkey) AS ids FROM part WHERE p_size < 10 GROUP BY 1"""
+    """SELECT p_partkey // 50 AS answer, count(*) AS n_records, count(*) FILTER (p_partkey % 5 = 0) AS n_unchecked,
+    string_agg(p_partkey::VARCHAR, ' | ' ORDER BY p_partkey) AS ids FROM part GROUP BY 1"""
 )
 def search_envelopes(spark, sf_dir):
     data = F.when(F.col("p_partkey") % 5 == 0, F.lit("<diag:diagnostic><uri>1/131</uri></diag:diagnostic>")).otherwise(
@@ -201,8 +201,8 @@ def search_envelopes(spark, sf_dir):
         F.lit("<srw:record><srw:recordData>"), data, F.lit("</srw:recordData><srw:recordIdentifier> "),
         F.col("p_partkey").cast("string"), F.lit(" </srw:recordIdentifier></srw:record>"),
     )
-    few = table(spark, sf_dir, "part").filter("p_size < 10")
-    pages = few.groupBy(F.col("p_size").alias("answer")).agg(F.count("*").alias("n"), F.collect_list(record).alias("r"))
+    page = F.floor(F.col("p_partkey") / 50).alias("answer")  # of at most 50 records
+    pages = table(spark, sf_dir, "part").groupBy(page).agg(F.count("*").alias("n"), F.collect_list(record).alias("r"))
     names = 'xmlns:srw="http://www.loc.gov/zing/srw/" xmlns:mxc="info:x" xmlns:diag="info:d"'
     xml = F.concat(
         F.lit(f"<srw:searchRetrieveResponse {names}><srw:numberOfRecords>"), F.col("n").cast("string"),
