@@ -406,7 +406,7 @@ def score_documents(
     vocabulary: int = 4096,
     width: int = 64,
     hidden: int = 12,
-    rounds: int = 2,
+    rounds: int = 4,
     trainer_tokens: int = 1_000_000,
     sample_part: int | None = None,
 ) -> DataFrame:
