@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from granary.plans import bibliography, cleaning, ingest, reports, sales, texts  # noqa: F401
+    from granary.plans import bibliography, catalogues, cleaning, ingest, reports, sales, texts  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

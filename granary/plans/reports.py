@@ -342,7 +342,7 @@ def normal_quantile_pairs(spark, sf_dir):
     k AS (SELECT least(floor((c_acctbal - a) / (b - a) * 10), 9)::INT AS bin, count(*) AS n FROM customer, a WHERE c_acctbal IS NOT NULL GROUP BY 1),
     e AS (SELECT i::INT AS bin, a + i * (b - a) / 10 AS low, (b - a) / 10 AS w, a.n AS every, m, s FROM range(10) r(i), a)
     SELECT e.bin, round(low, 4) AS low, coalesce(k.n, 0) AS n, round(coalesce(k.n, 0) / (every * w), 10) AS density,
-    round(exp(-((low + w / 2 - m) / s) ** 2 / 2) / (s * sqrt(2 * pi())), 10) AS fitted FROM e LEFT JOIN k ON e.bin = k.bin"""
+    round(exp(0 - ((low + w / 2 - m) / s) ** 2 / 2) / (s * sqrt(2 * pi())), 10) AS fitted FROM e LEFT JOIN k ON e.bin = k.bin"""
 )
 def normal_fit_bins(spark, sf_dir):
     bins = density_bins(table(spark, sf_dir, "customer"), "c_acctbal")
