@@ -5,10 +5,17 @@ end tag, and missing tags are implied (a paragraph ends where a block starts, an
 item where the next one does, cells and rows likewise). The tree is then
 rendered: hidden elements are left out, a select box shows its chosen option, white space collapses outside ``pre``,
 blocks are set apart by blank lines, items get bullets or numbers with an indent
-for each level, and a table's columns are aligned by padding.
+for each level, and a table's columns are aligned by padding. Visibility is
+inherited, and a child may show itself again; of closed details the summary is seen.
+
+Text and time stay in proportion to the page. Columns that no row fills are left
+out, however far cells reach. A line longer than ``WIDE`` pushes what follows it to
+the right and makes no other row wider. A table in which most places would stay
+empty, as in one that is used for layout, is not aligned: its rows follow one
+another, cells of one line side by side, others as blocks.
 
 Each page is handled by itself in ``mapInArrow`` tasks: no shuffle, and memory
-bounded by one Arrow batch. Both passes use stacks of their own, so neither
+bounded by a lot of pages. Both passes use stacks of their own, so neither
 depth nor length of a page is limited.
 
 Defined cases: null or empty HTML gives an empty text; plain text comes back
@@ -28,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.common import in_lots
+
 _TAG = re.compile(
     r"<!--(?:.*?--!?>|.*)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>?|<[A-Za-z][^>]*>",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-_UNDISPLAYED = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![\w-])", re.IGNORECASE)
+_STYLE = re.compile(r"(?<![\w-])(display|visibility)\s*:\s*([\w-]+)", re.IGNORECASE)
 _UNENDED = re.compile(r"<[A-Za-z/!?]")
 _SPACES = re.compile(r"[ \t\n\f\r]+")
 
@@ -42,7 +51,7 @@ _SPACES = re.compile(r"[ \t\n\f\r]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas datalist".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist rp".split()
 )
 #: In drawings and formulas: what describes them, or is drawn only where it is referred to.
 UNSEEN_IN = {
@@ -80,12 +89,20 @@ def attributes(source: str) -> dict[str, str]:
 
 
 class Node:
-    __slots__ = ("tag", "shown", "start", "children", "attrs")
+    """visible says whether the element's own style shows its text, hides it, or, if None, leaves that to what is around it."""
+
+    __slots__ = ("tag", "shown", "start", "children", "attrs", "visible")
 
-    def __init__(self, tag: str, shown: bool = True, start: int = 1, attrs: dict[str, str] | None = None) -> None:
-        self.tag, self.shown, self.start, self.attrs = tag, shown, start, attrs or {}
+    def __init__(self, tag: str, shown: bool = True, start: int = 1, attrs: dict[str, str] | None = None, visible: bool | None = None) -> None:
+        self.tag, self.shown, self.start, self.attrs, self.visible = tag, shown, start, attrs or {}, visible
         self.children: list[Node | str] = []
 
+    def seen(self) -> list[Node | str]:
+        """The children, of closed details the first summary alone."""
+        if self.tag != "details" or "open" in self.attrs:
+            return self.children
+        return [c for c in self.children if isinstance(c, Node) and c.tag == "summary"][:1]
+
 
 class _Open:
     """The stack of open elements, with the number of each tag so that a tag that is not open is not searched for."""
@@ -150,11 +167,14 @@ def build_tree(html: str) -> Node:
             open_.close({"p"}, SCOPE)
         if name in IMPLIED:
             open_.close(*IMPLIED[name])
-        shown = name not in UNSEEN and "hidden" not in attrs and not _UNDISPLAYED.search(attrs.get("style", ""))
+        style = {k.lower(): v.lower() for k, v in _STYLE.findall(attrs.get("style", ""))}  # the last of a property counts
+        shown = name not in UNSEEN and "hidden" not in attrs and style.get("display") != "none"
+        shown = shown and (name != "dialog" or "open" in attrs)
+        visible = {"visible": True, "hidden": False, "collapse": False}.get(style.get("visibility", ""))
         for outer, unseen in UNSEEN_IN.items():
             shown = shown and not (name in unseen and open_.count[outer] > 0)
         first = re.match(r"\s*(-?\d+)", attrs.get("start", "")) if name == "ol" else None
-        node = Node(name, shown, int(first[1]) if first else 1, attrs)
+        node = Node(name, shown, int(first[1]) if first else 1, attrs, visible)
         if m["attrs"].endswith("/") and (open_.count["svg"] > 0 or open_.count["math"] > 0):
             open_.stack[-1].children.append(node)  # foreign elements may end themselves
             continue
@@ -250,34 +270,51 @@ def _reach(node: Node, name: str, most: int) -> int:
     return min(most, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 9 else 1
 
 
-def _grid(rows: list[list[tuple[str, int, int]]]) -> list[list[str]]:
-    """A cell for each column: those that a cell reaches over, to the right or from above, are empty."""
-    out: list[list[str]] = []
-    hanging: dict[int, int] = {}  # column: rows that a cell above still covers
+WIDE = 80  # characters of a line up to which it makes its column wider
+
+
+def _placed(rows: list[list[tuple[str, int, int]]]) -> list[dict[int, list[str]]]:
+    """For each row the lines of its cells that hold text, by column; a cell that reaches further is in its first one."""
+    out: list[dict[int, list[str]]] = []
+    hanging: list[tuple[int, int, int]] = []  # columns from one on to before another that are covered for so many rows more
     for row in rows:
-        line: list[str] = []
-        covered = {c for c, n in hanging.items() if n > 0}
-        hanging = {c: n - 1 for c, n in hanging.items() if n > 1}
+        line: dict[int, list[str]] = {}
+        later, at, column = [], 0, 0
         for text, wide, high in row:
-            while len(line) in covered:
-                line.append("")
-            for k in range(wide):
-                if high > 1:
-                    hanging[len(line)] = max(high - 1, hanging.get(len(line), 0))
-                line.append("" if k else text)
-        out.append(line)
+            while at < len(hanging) and hanging[at][0] <= column:
+                column = max(column, hanging[at][1])
+                at += 1
+            if text:
+                line[column] = text.split("\n")
+            if high > 1:
+                later.append((column, column + wide, high))
+            column += wide
+        hanging = sorted((a, b, n - 1) for a, b, n in [*hanging, *later] if n > 1)
+        if line:
+            out.append(line)
     return out
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells, a cell's lines below one another, each column as wide as its widest line."""
-    cells = [[c.split("\n") for c in row] for row in rows]
-    columns = max(map(len, cells), default=0)
-    width = [max((len(x) for row in cells if i < len(row) for x in row[i]), default=0) for i in range(columns)]
+def _set_out(rows: list[dict[int, list[str]]]) -> list[str]:
+    """Rows of cells below one another, a cell's lines too, each column as wide as its widest line up to WIDE."""
+    number = {c: k for k, c in enumerate(sorted(set().union(*rows)))} if rows else {}
+    height = [max(map(len, row.values())) for row in rows]
+    places = sum(n * (number[max(row)] + 1) for n, row in zip(height, rows, strict=True))
+    if places > 4 * sum(len(lines) for row in rows for lines in row.values()):
+        out = []
+        for n, row in zip(height, rows, strict=True):
+            cells = [row[c] for c in sorted(row)]
+            out += [" | ".join(lines[0] for lines in cells)] if n == 1 else [x for lines in cells for x in lines]
+        return out
+    width = [0] * len(number)
+    for row in rows:
+        for c, lines in row.items():
+            width[number[c]] = max(width[number[c]], max((len(x) for x in lines if len(x) <= WIDE), default=0))
     out = []
-    for row in cells:
-        for k in range(max(map(len, row), default=0)):
-            parts = [(c[k] if k < len(c) else "").ljust(w) for c, w in zip(row, width, strict=False)]
+    for n, row in zip(height, rows, strict=True):
+        own = {number[c]: lines for c, lines in row.items()}
+        for k in range(n):
+            parts = [(own[i][k] if i in own and k < len(own[i]) else "").ljust(width[i]) for i in range(max(own) + 1)]
             out.append(" | ".join(parts).rstrip())
     return out
 
@@ -286,12 +323,14 @@ def render(root: Node) -> str:
     pages, tables = [_Page()], []
     lists: list[list[int | None]] = [[]]  # for each flow, its open lists: the next number, or None for bullets
     pre = 0
-    work: list[tuple[Node | str, bool]] = [(root, False)]
+    work: list[tuple[Node | str, bool, bool]] = [(root, False, True)]
     while work:
-        node, leaving = work.pop()
+        node, leaving, visible = work.pop()
         page = pages[-1]
         indent = 2 * len(lists[-1])
         if isinstance(node, str):
+            if not visible:
+                continue
             if pre:
                 first, *others = node.expandtabs(8).split("\n")
                 page.line += first
@@ -307,6 +346,10 @@ def render(root: Node) -> str:
         if not leaving:
             if not node.shown:
                 continue
+            if node.visible is not None:
+                visible = node.visible
+            if not visible and tag in ("br", "hr", "select", "textarea"):
+                continue
             if tag == "br":
                 if page.line:
                     page.end()
@@ -339,10 +382,10 @@ def render(root: Node) -> str:
             elif tag == "li":
                 own = lists[-1]
                 if own and own[-1] is not None:
-                    page.mark = f"{own[-1]}. "
+                    page.mark = f"{own[-1]}. " if visible else ""
                     own[-1] += 1
                 else:
-                    page.mark = "- "
+                    page.mark = "- " if visible else ""
             elif tag == "pre":
                 pre += 1
                 page.lines += [""] * (page.gap if page.lines else 0)
@@ -354,8 +397,8 @@ def render(root: Node) -> str:
             elif tag in ("td", "th", "caption") and tables:
                 pages.append(_Page())
                 lists.append([])
-            work.append((node, True))
-            work.extend((c, False) for c in reversed(node.children))
+            work.append((node, True, visible))
+            work.extend((c, False, visible) for c in reversed(node.seen()))
             continue
         if tag in ("ul", "ol", "menu"):
             page.end()
@@ -377,8 +420,7 @@ def render(root: Node) -> str:
                     tables[-1].append([])
                 tables[-1][-1].append((cell, _reach(node, "colspan", 1000), _reach(node, "rowspan", 65534)))
         elif tag == "table" and tables:
-            rows = [r for r in _grid(tables.pop()) if any(r)]
-            page.block(_aligned(rows), indent)
+            page.block(_set_out(_placed(tables.pop())), indent)
         elif tag in BLOCK:
             page.end(1 if tag in APART else 0)
     return pages[0].text().strip("\n")
@@ -392,7 +434,7 @@ def extract_text(pages: DataFrame, *, id_column: str = "page_id", html_column: s
     """One row for each row of pages: the id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_lots(batches, 1, rows=1000, size=4_000_000):
             texts = pa.array([visible_text(h) for h in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], [id_column, "text"])
 

@@ -372,6 +372,46 @@ def test_html_cells_that_span(rows, text):
     assert visible_text(f"<table>{rows}</table>") == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div style='visibility:hidden'>a <b style='visibility: visible'>b</b> c<p>d</div>e", "b\n\ne"),  # what is hidden keeps its place
+        ("<p style='display:none;display:block'>a<p style='display:block; display: none'>b", "a"),
+        ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+        ("x<dialog>no</dialog><dialog open>yes</dialog>", "x\nyes"),
+        ("<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>", "漢kan"),
+        ("<details><summary>more</summary>text<p>p</details>y", "more\ny"),
+        ("<details open><summary>more</summary>text</details>", "more\ntext"),
+        ("<details>text</details>y", "y"),
+        ("<select style='visibility:hidden'><option>a</select>z", "z"),
+    ],
+)
+def test_what_is_hidden_and_what_shows_itself(page, text):
+    assert visible_text(page) == text
+
+
+def test_tables_stay_in_proportion_to_their_pages():
+    wide = f"<table><tr><td>{'long ' * 4000}<td>x</tr>" + "<tr><td>a<td>b</tr>" * 1000 + "</table>"
+    spans = "<table>" + "<tr><td>a<td colspan=1000><td colspan=1000>b<td colspan=1000>" * 400 + "</table>"
+    steps = "<table>" + "".join(f"<tr><td colspan={k}><td>x" for k in range(1, 1001)) + "</table>"
+    hung = "<table>" + "<tr><td rowspan=900>h<td colspan=900 rowspan=900>i" * 300 + "</table>"
+    layout = "<table><tr>" + "<td>menu" * 10 + "<td>" + "line<br>" * 5000 + "</table>"
+    for page in (wide, spans, steps, hung, layout):
+        began = time.process_time()
+        text = visible_text(page)
+        assert len(text) < 6 * len(page) and time.process_time() - began < 2, (len(page), len(text))
+        assert sorted(re.findall("[a-z]+", text)) == sorted(re.findall("[a-z]+", re.sub("<[^>]*>", " ", page)))
+    assert visible_text(wide).split("\n")[1].startswith("a |") and visible_text(spans).split("\n")[0] == "a | b"
+
+
+def test_a_table_of_odd_pages(spark):
+    assert extract_text(spark.createDataFrame([], "page_id long, html string")).count() == 0
+    long = "<p>" + "word " * 400_000
+    pages = spark.createDataFrame([(1, long, "t", 3), (2, None, "t", 3), (2, None, "t", 3), (None, "<b>x", "t", 3)], "page_id long, html string, text string, url int")
+    got = extract_text(pages).collect()
+    assert sorted((r.page_id or 0, len(r.text)) for r in got) == [(0, 1), (1, 1_999_999), (2, 0), (2, 0)]
+
+
 def test_ranker_takes_odd_rows(make, odd, prose, spark):
     texts = [*odd, *enumerate(prose(40, 13), 10), *enumerate(("x! " * 60 for _ in range(40)), 60)]
     labels = spark.createDataFrame([(k, int(k < 60)) for k in range(10, 100)] + [(7, 1), (7, 0), (None, 1)], "doc_id long, quality int")
