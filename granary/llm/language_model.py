@@ -319,15 +319,16 @@ def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarr
 
 
 def with_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, copy): equal rows are numbered from 0, others have 0. Equal rows are counted by their hashes first;
-    where there are any, they are grouped in the tasks that read them, and set apart again by their count."""
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    again = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("again")), "copies")
+    """(doc_id, text, copy): equal rows are numbered from 0, others have 0. Ids alone are read to see whether any repeat;
+    rows of those that do are grouped by their text where they are read, and set apart again by their count."""
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    again = materialize(ids.select(F.col("doc_id").alias("again")), "copies")
     if again.isEmpty():
         discard(again)
-        return keyed.select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
-    single = keyed.join(again, F.col("key") == F.col("again"), "left_anti").select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
-    several = keyed.join(again, F.col("key") == F.col("again"), "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+        return docs.select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
+    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    single = docs.join(again, same, "left_anti").select("doc_id", "text", F.lit(0).cast("long").alias("copy"))
+    several = docs.join(again, same, "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
     return single.unionByName(several.select("doc_id", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy")))
 
 
@@ -341,7 +342,7 @@ def averaged(found: DataFrame, trainers: int, few: int = 32) -> DataFrame:
         for v, n in zip(group.v, group.n, strict=True):
             total += np.asarray(v, float) * n
         n = int(group.n.sum())
-        return pd.DataFrame({"trainer": group["trainer"].iloc[:1] // few, "at": group["at"].iloc[:1], "n": [n], "v": [total / n]})
+        return pd.DataFrame({"trainer": group["trainer"].iloc[:1].to_numpy() // few, "at": group["at"].iloc[:1].to_numpy(), "n": [n], "v": [total / n]})
 
     while trainers > 1:
         by = found.groupBy("at", F.floor(F.col("trainer") / few).alias("step"))
@@ -377,8 +378,8 @@ def train_model(
                         waiting, size = [], 0
             n += own.train(waiting, squares=squares)
             if n:
-                blocks = own.blocks().astype(float)
-                values = pa.FixedSizeListArray.from_arrays(pa.array(blocks.ravel()), BLOCK).cast(pa.list_(pa.float64()))
+                blocks = own.blocks().astype(np.float32)
+                values = pa.FixedSizeListArray.from_arrays(pa.array(blocks.ravel()), BLOCK).cast(pa.list_(pa.float32()))
                 at = pa.array(np.arange(len(blocks), dtype=np.int32))
                 same = [pa.array(np.full(len(blocks), x)) for x in (TaskContext.get().partitionId(), n)]
                 yield pa.RecordBatch.from_arrays([same[0], at, same[1], values], ["trainer", "at", "n", "v"])
@@ -386,10 +387,10 @@ def train_model(
         row = F.xxhash64("doc_id", "text", "copy", F.lit(turn))
         dealt = rows.filter(drawn == turn).select("text", row.alias("row")).repartition(trainers, "row")
         dealt = dealt.sortWithinPartitions("row").select("text")
-        found = materialize(dealt.mapInArrow(run, "trainer long, at int, n long, v array<double>"), "trainers")
-        tasks = (found.agg(F.max("trainer")).first()[0] or 0) + 1
-        blocks = averaged(found, tasks).toPandas()
-        discard(found)
+        found = dealt.mapInArrow(run, "trainer long, at int, n long, v array<float>")
+        # Never fewer steps than trainers need, should a session deal rows to more of them than were asked for.
+        most = max(trainers, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        blocks = averaged(found, most).toPandas()
         if len(blocks):
             model = model.with_blocks(np.stack(blocks.sort_values("at").v))
     return model
@@ -406,7 +407,7 @@ def score_documents(
     vocabulary: int = 4096,
     width: int = 64,
     hidden: int = 12,
-    rounds: int = 4,
+    rounds: int = 3,
     trainer_tokens: int = 1_000_000,
     sample_part: int | None = None,
 ) -> DataFrame:
