@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from granary.functions import identifiers, isbn
+from granary.operators.notices import electronic_checks, media_checks, notice_fields, without_carrier
 from granary.operators.snapshots import indicators, refreshed
 from granary.plans.catalog import query, table
 from granary.plans.texts import _NUMBERS, _ten
@@ -115,3 +117,61 @@ def carried_annotations(spark, sf_dir):
 @query(f"SELECT count(*) AS n_rows, count(*) FILTER (status = 'new') AS n_new, count(*) FILTER (status = 'modified') AS n_modified, max(changed) AS latest, count(*) FILTER (a <> b) AS n_apart FROM {_STATUS}")
 def snapshot_indicators(spark, sf_dir):
     return indicators(_refreshed(spark, sf_dir), "changed", "here", "there")
+
+
+def _field(tag: str, *subfields: tuple[str, Column | str]) -> list[Column]:
+    inner = [F.concat(F.lit(f'<subfield code="{k}">'), v if isinstance(v, Column) else F.lit(v), F.lit("</subfield>")) for k, v in subfields]
+    return [F.lit(f'<datafield tag="{tag}">'), *inner, F.lit("</datafield>")]
+
+
+@query(
+    f"""SELECT p_partkey, p_partkey::VARCHAR AS ppn, CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN '978' || b || c13 || ' | 9780306406157' ELSE '978' || b || c13 END AS numbers,
+    CASE WHEN p_partkey % 7 <> 0 THEN p_name || CASE WHEN p_partkey % 2 = 0 THEN ' ; ' || p_brand ELSE '' END || ' : ' || p_type END AS title,
+    CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 5 = 0 THEN 'Else' ELSE p_brand || ', Ana' END END AS creator,
+    CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 3 = 0 THEN 'Lyon - Paris' ELSE 'Nice' END END AS place,
+    CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 3 = 0 THEN p_type END END AS publisher, CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 3 = 0 THEN 1950 + p_size ELSE 1987 END END AS year
+    FROM part JOIN {_NUMBERS} USING (p_partkey)"""
+)
+def author_search_notices(spark, sf_dir):
+    key, c = F.col("p_partkey"), F.col
+    first = F.concat(F.lit("978"), F.lpad(key.cast("string"), 9, "0"))
+    number = F.when(key % 7 == 0, F.concat(F.lit("ISBN "), key)).otherwise(isbn.isbn13_from_nine(F.lpad(key.cast("string"), 9, "0")))
+    second = F.when((key % 3 == 0) & (key % 7 != 0), "0-306-40615-2").otherwise(first)
+    some = lambda when, *parts: [F.when(when, F.concat(*parts)).otherwise(F.lit(""))]
+    parts = [
+        F.lit('<record><controlfield tag="001">'), key.cast("string"), F.lit("</controlfield>"), *_field("010", ("a", number)), *_field("010", ("a", second), ("a", number)),
+        F.lit('<datafield tag="200"><subfield code="a">'), c("p_name"), F.lit(" /</subfield>"), *some(key % 2 == 0, F.lit('<subfield code="a">'), c("p_brand"), F.lit("</subfield>")),
+        F.lit('<subfield code="e"> '), c("p_type"), F.lit(" :</subfield></datafield>"), *_field("200", ("a", "second")),
+        *some(key % 5 != 0, *_field("700", ("a", c("p_brand")), ("b", "Ana,")), *_field("700", ("a", "Third"))), *_field("701", ("a", "Else")),
+        *some(key % 3 == 0, *_field("214", ("a", "Lyon ;"), ("a", "Paris"), ("c", c("p_type")), ("d", "s. d."), ("d", F.concat(F.lit("cop. "), (c("p_size") + 1950).cast("string")))), *_field("214", ("a", "Lyon"))),
+        *_field("210", ("a", "Nice"), ("d", "1987-1990")), F.lit("</record>"),
+    ]
+    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
+    found = notice_fields(raw, "xml")
+    return found.select("p_partkey", "ppn", F.array_join("numbers", " | ").alias("numbers"), "title", "creator", "place", "publisher", "year")
+
+
+@query("SELECT p_partkey, 'cb' || p_partkey AS ark FROM part WHERE NOT (p_partkey % 5 <> 0 AND p_partkey % 3 = 0)")
+def computer_media_dropped(spark, sf_dir):
+    """Notices against answers of at most 50 records, some of which hold a diagnostic in place of a record."""
+    key = F.col("p_partkey")
+    ark = F.concat(F.lit("ark:/12148/cb"), key)
+    marc = F.concat(F.lit('<mxc:record id="'), ark, F.lit('"><mxc:leader>x</mxc:leader><mxc:datafield tag="182"><mxc:subfield code="6">z</mxc:subfield><mxc:subfield code="c">'),
+                    F.when(key % 3 == 0, " C ").otherwise("n"), F.lit("</mxc:subfield></mxc:datafield></mxc:record>"))
+    data = F.when(key % 5 == 0, F.lit("<diag:diagnostic><diag:uri>1/131</diag:uri></diag:diagnostic>")).otherwise(marc)
+    record = F.concat(F.lit("<srw:record><srw:recordData>"), data, F.lit("</srw:recordData><srw:recordIdentifier>"), ark, F.lit("#x</srw:recordIdentifier></srw:record>"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("cb"), key).alias("ark"), record.alias("record"))
+    pages = part.groupBy(F.floor(key / 50).alias("page")).agg(F.array_join(F.collect_list("record"), "").alias("r"))
+    names = 'xmlns:srw="http://www.loc.gov/zing/srw/" xmlns:mxc="info:x" xmlns:diag="info:d"'
+    answers = pages.select(F.concat(F.lit(f"<srw:searchRetrieveResponse {names}><srw:records>"), "r", F.lit("</srw:records></srw:searchRetrieveResponse>")).alias("body"))
+    return without_carrier(part.select("p_partkey", "ark"), media_checks(answers, "body"), "ark", "id", "computer")
+
+
+@query("SELECT p_partkey, lpad(p_partkey::VARCHAR, 9, '0') AS ppn FROM part WHERE p_partkey % 4 <> 1")
+def electronic_dropped(spark, sf_dir):
+    """Notices against internal records, which are there for two of three."""
+    key = F.col("p_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", F.lpad(key.cast("string"), 9, "0").alias("ppn"))
+    carrier = F.when(key % 4 == 1, "CEB ").otherwise("nc")
+    raw = part.filter("p_partkey % 3 <> 2 OR p_partkey % 4 = 1").select(F.concat(F.lit("<record>"), *_field("003@", ("0", key.cast("string"))), *_field("012V", ("a", "ceb"), ("c", carrier)), F.lit("</record>")).alias("xml"))
+    return without_carrier(part, electronic_checks(raw, "xml"), "ppn", "ppn", "electronic")
