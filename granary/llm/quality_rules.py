@@ -35,7 +35,8 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smoothing:
     """One row with an array of log(p_trusted / p_raw), a place per bucket.
 
     trusted holds doc_id and is broadcast: its size is bounded by the caller.
-    Counts are summed on the map side, so at most ``buckets`` rows a task move.
+    Counts are summed on the map side, so at most ``buckets`` rows a task move. A
+    text without tokens counts as one pair of nothing with nothing.
     """
     flagged = docs.select("doc_id", _token_hashes(text_of()).alias("t")).join(
         F.broadcast(trusted.select(F.col("doc_id"), F.lit(1).alias("good")).distinct()), "doc_id", "left"
