@@ -32,3 +32,21 @@ def check(df: DataFrame, keys: list[str], required: list[str], ranges: dict[str,
     if faults:
         raise QualityError(f"{faults} in {row['n_rows']} rows")
     return df
+
+
+def require_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """df, if it has columns of these names and Spark types; a QualityError that names all that are missing or of another kind."""
+    there = dict(df.dtypes)
+    wrong = [f"{c} is missing" if c not in there else f"{c} is {there[c]}, not {kind}" for c, kind in kinds.items() if there.get(c) != kind]
+    if wrong:
+        raise QualityError("; ".join(wrong))
+    return df
+
+
+def require_absent(df: DataFrame, forbidden: DataFrame, key: str, examples: int = 5) -> DataFrame:
+    """df, if none of its keys is among the forbidden ones; a QualityError with some of them otherwise. Null is no key."""
+    left = df.select(key).filter(F.col(key).isNotNull()).join(forbidden.select(key), key, "left_semi")
+    found = [r[0] for r in left.limit(examples).collect()]
+    if found:
+        raise QualityError(f"keys that must not be left: {', '.join(map(str, found))}")
+    return df

@@ -65,3 +65,9 @@ def with_average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """df with the average rank of value; null for a missing one."""
     ranks = ranked_values(df.groupBy(value).agg(F.count("*").alias("n")), value)
     return df.join(ranks.select(value, F.col("rank").alias(name)), value, "left")
+
+
+def in_lots_of(df: DataFrame, size: int, order: str, ties: list[str] = (), name: str = "lot") -> DataFrame:
+    """Adds the number, from 0, of the lot of ``size`` rows that a row falls into by order, then ties; the last lot may be smaller."""
+    counted = running_totals(df.withColumn("_one", F.lit(1)), order, list(ties), ["_one"])
+    return counted.withColumn(name, F.floor((F.col("_one_so_far") - 1) / size)).drop("_one", "_one_so_far")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from granary.functions import identifiers, isbn
 from granary.operators.notices import electronic_checks, media_checks, notice_fields, without_carrier
 from granary.operators.snapshots import indicators, refreshed
+from granary.operators.windows import in_lots_of
 from granary.plans.catalog import query, table
 from granary.plans.texts import _NUMBERS, _ten
 from granary.sources.files import binding_rows, hourly_rows, search_rows
@@ -175,3 +176,18 @@ def electronic_dropped(spark, sf_dir):
     carrier = F.when(key % 4 == 1, "CEB ").otherwise("nc")
     raw = part.filter("p_partkey % 3 <> 2 OR p_partkey % 4 = 1").select(F.concat(F.lit("<record>"), *_field("003@", ("0", key.cast("string"))), *_field("012V", ("a", "ceb"), ("c", carrier)), F.lit("</record>")).alias("xml"))
     return without_carrier(part, electronic_checks(raw, "xml"), "ppn", "ppn", "electronic")
+
+
+@query("SELECT c_custkey, (row_number() OVER (ORDER BY c_nationkey, c_custkey) - 1) // 150 AS lot FROM customer")
+def lots_of_keys(spark, sf_dir):
+    return in_lots_of(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), 150, "c_nationkey", ["c_custkey"]).drop("c_nationkey")
+
+
+@query("SELECT event_id, CASE WHEN value > 50 THEN 0 ELSE value END AS value, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, CASE WHEN event_type LIKE 'c%' THEN '' ELSE event_type END AS event_type FROM events")
+def filled_nulls(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    holes = events.select(
+        "event_id", F.when(~(F.col("value") > 50), F.col("value")).alias("value"), F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("user_id"),
+        F.when(~F.col("event_type").like("c%"), F.col("event_type")).alias("event_type"),
+    )
+    return holes.fillna(0).fillna("")

@@ -9,6 +9,7 @@ from xml.sax.saxutils import escape
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.quality import require_columns
 from granary.operators.relational import upserted
 from granary.sources.files import exists
 
@@ -154,3 +155,15 @@ def create_table(spark: SparkSession, name: str, schema: str, partition_by: list
 def replace_table(df: DataFrame, name: str) -> None:
     """Replaces a table's rows and columns by those of df."""
     df.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(name)
+
+
+def hand_off(df: DataFrame, path: str) -> None:
+    """A table for the next step of a chain, with its types; a run that fails leaves no _SUCCESS, by which take_over knows."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def take_over(spark: SparkSession, path: str, kinds: dict[str, str] | None = None) -> DataFrame:
+    """The table that hand_off left, once it is whole and has the columns that are wanted."""
+    if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        raise FileNotFoundError(f"no whole table at {path}")
+    return require_columns(spark.read.parquet(path), kinds or {})
