@@ -96,6 +96,19 @@ def full_name(family: Column, given: Column, dates: Column | None = None) -> Col
     return name if dates is None else F.concat_ws(" ", name, F.concat(F.lit("("), blank(dates), F.lit(")")))
 
 
+def composed_name(family: Column, given: Column, *, expansion: Column, numeral: Column, qualifier: Column, dates: Column) -> Column:
+    """ "Family, Given Expansion IV (qualifier) (dates)" from the parts that are there; a part that comes first stands bare.
+
+    White space within and around parts is single; null where there is no part.
+    """
+    known = lambda c: F.nullif(F.btrim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
+    out = F.concat_ws(", ", known(family), known(given))
+    for part, before, after in ((expansion, " ", ""), (numeral, " ", ""), (qualifier, " (", ")"), (dates, " (", ")")):
+        more = known(part)
+        out = F.when(more.isNull(), out).when(out == "", more).otherwise(F.concat(out, F.lit(before), more, F.lit(after)))
+    return F.nullif(out, F.lit(""))
+
+
 def with_thousands(number: Column) -> Column:
     """Integer part with a space between thousands."""
     return F.replace(F.format_number(number.cast("long"), 0), F.lit(","), F.lit(" "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from granary.functions import identifiers, isbn
+from granary.functions import identifiers, isbn, text
 from granary.operators.notices import electronic_checks, media_checks, notice_fields, without_carrier
 from granary.operators.snapshots import indicators, refreshed
 from granary.operators.windows import in_lots_of
@@ -191,3 +191,16 @@ def filled_nulls(spark, sf_dir):
         F.when(~F.col("event_type").like("c%"), F.col("event_type")).alias("event_type"),
     )
     return holes.fillna(0).fillna("")
+
+
+@query(
+    """SELECT p_partkey, p_brand || CASE WHEN p_partkey % 2 = 0 THEN ', Ana Maria' ELSE '' END || CASE WHEN p_partkey % 3 = 0 THEN ' IV' ELSE '' END
+    || CASE WHEN p_partkey % 5 = 0 THEN ' (' || p_type || ')' ELSE '' END || ' (' || (1900 + p_size) || '-)' AS name FROM part"""
+)
+def composed_names(spark, sf_dir):
+    key, some = F.col("p_partkey"), lambda when, v: F.when(when, v)
+    name = text.composed_name(
+        F.col("p_brand"), some(key % 2 == 0, F.lit(" Ana  Maria")), expansion=F.lit(" "), numeral=some(key % 3 == 0, F.lit("IV")),
+        qualifier=some(key % 5 == 0, F.col("p_type")), dates=F.concat((F.col("p_size") + 1900).cast("string"), F.lit("-")),
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"))

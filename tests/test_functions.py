@@ -60,3 +60,10 @@ def test_tails():
     assert special.t_two_sided(2.2281388519649385, 10) == pytest.approx(0.05)
     assert special.normal_two_sided(1.959963984540054) == pytest.approx(0.05)
     assert math.isclose(special.upper_gamma(0.5, 1e-9) + 2 * math.sqrt(1e-9 / math.pi), 1, rel_tol=1e-6)
+
+
+def test_composed_names(spark):
+    rows = [("Martin", "Anne", "A. B.", "II", "saint", "1900-1950"), (None, None, None, None, "saint", "1900"), (" ", "Anne", None, "", None, None), (None,) * 6]
+    df = spark.createDataFrame(rows, "a string, b string, g string, d string, c string, f string")
+    name = text.composed_name(F.col("a"), F.col("b"), expansion=F.col("g"), numeral=F.col("d"), qualifier=F.col("c"), dates=F.col("f"))
+    assert [r[0] for r in df.select(name).collect()] == ["Martin, Anne A. B. II (saint) (1900-1950)", "saint (1900)", "Anne", None]
