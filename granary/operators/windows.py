@@ -21,9 +21,12 @@ def rolling_mean(df: DataFrame, value: str, order: list[Column], rows: int, name
     return df.withColumn(name, F.when(F.count(value).over(over) == rows, F.avg(value).over(over)))
 
 
-def running_totals(df: DataFrame, order: str, ties: list[str], sums: list[str]) -> DataFrame:
-    """Adds <name>_so_far for each of sums: its total over all rows up to this one by order, then ties; nulls come first."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def running_totals(df: DataFrame, order: str, ties: list[str], sums: list[str], ranges: int | None = None) -> DataFrame:
+    """Adds <name>_so_far for each of sums: its total over all rows up to this one by order, then ties; nulls come first.
+
+    ranges is the number of ranges, by default that of the session's shuffle partitions.
+    """
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Stored, as ranges come from a sample that a second reading need not draw again.
     dealt = stored(df.repartitionByRange(parts, order, *ties).withColumn("_range", F.spark_partition_id()), "ranges")
     own = dealt.groupBy("_range").agg(*(F.sum(c).alias(f"_t_{c}") for c in sums))
