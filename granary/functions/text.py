@@ -102,11 +102,11 @@ def composed_name(family: Column, given: Column, *, expansion: Column, numeral:
     White space within and around parts is single; null where there is no part.
     """
     known = lambda c: F.nullif(F.btrim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
-    out = F.concat_ws(", ", known(family), known(given))
-    for part, before, after in ((expansion, " ", ""), (numeral, " ", ""), (qualifier, " (", ")"), (dates, " (", ")")):
-        more = known(part)
-        out = F.when(more.isNull(), out).when(out == "", more).otherwise(F.concat(out, F.lit(before), more, F.lit(after)))
-    return F.nullif(out, F.lit(""))
+    base = F.nullif(F.concat_ws(", ", known(family), known(given)), F.lit(""))
+    bracketed = lambda c: F.concat(F.lit("("), known(c), F.lit(")"))
+    bare = F.array_compact(F.array(base, *map(known, (expansion, numeral, qualifier, dates))))
+    dressed = F.array_compact(F.array(base, known(expansion), known(numeral), bracketed(qualifier), bracketed(dates)))
+    return F.nullif(F.concat_ws(" ", F.get(bare, F.lit(0)), F.slice(dressed, 2, 4)), F.lit(""))
 
 
 def with_thousands(number: Column) -> Column:
