@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from granary.functions.identifiers import normalize_ppn
 from granary.functions.isbn import normalize_isbn
+from granary.functions.once import computed
 from granary.functions.text import first_year, trim_punctuation
-from granary.operators.hybrid import computed
 from granary.sources.records import control_value, field_values, parsed_records
 
 

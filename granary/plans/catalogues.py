@@ -9,7 +9,7 @@ from granary.functions import identifiers, isbn, text
 from granary.operators.notices import electronic_checks, media_checks, notice_fields, without_carrier
 from granary.operators.snapshots import indicators, refreshed
 from granary.operators.windows import in_lots_of
-from granary.plans.catalog import query, table
+from granary.plans.catalog import dealt, query, table
 from granary.plans.texts import _NUMBERS, _ten
 from granary.sources.files import binding_rows, hourly_rows, search_rows
 
@@ -147,7 +147,7 @@ def author_search_notices(spark, sf_dir):
         *some(key % 3 == 0, *_field("214", ("a", "Lyon ;"), ("a", "Paris"), ("c", c("p_type")), ("d", "s. d."), ("d", F.concat(F.lit("cop. "), (c("p_size") + 1950).cast("string")))), *_field("214", ("a", "Lyon"))),
         *_field("210", ("a", "Nice"), ("d", "1987-1990")), F.lit("</record>"),
     ]
-    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
+    raw = dealt(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
     found = notice_fields(raw, "xml")
     return found.select("p_partkey", "ppn", F.array_join("numbers", " | ").alias("numbers"), "title", "creator", "place", "publisher", "year")
 
@@ -172,7 +172,7 @@ def computer_media_dropped(spark, sf_dir):
 def electronic_dropped(spark, sf_dir):
     """Notices against internal records, which are there for two of three."""
     key = F.col("p_partkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", F.lpad(key.cast("string"), 9, "0").alias("ppn"))
+    part = dealt(spark, sf_dir, "part").select("p_partkey", F.lpad(key.cast("string"), 9, "0").alias("ppn"))
     carrier = F.when(key % 4 == 1, "CEB ").otherwise("nc")
     raw = part.filter("p_partkey % 3 <> 2 OR p_partkey % 4 = 1").select(F.concat(F.lit("<record>"), *_field("003@", ("0", key.cast("string"))), *_field("012V", ("a", "ceb"), ("c", carrier)), F.lit("</record>")).alias("xml"))
     return without_carrier(part, electronic_checks(raw, "xml"), "ppn", "ppn", "electronic")

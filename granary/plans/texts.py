@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from granary.functions import identifiers, isbn, text
+from granary.functions.once import computed, once
 from granary.operators.hybrid import hybrid_documents
-from granary.plans.catalog import query, table
+from granary.plans.catalog import dealt, query, table
 from granary.sources.records import envelope, field_values, local_works, parsed_records
 
 _BODY = "lpad(p_partkey::VARCHAR, 9, '0')"
@@ -20,9 +21,9 @@ def _ten(spark, sf_dir):
     """Parts with an ISBN made of their key; every seventh has a wrong check."""
     nine = F.lpad(F.col("p_partkey").cast("string"), 9, "0")
     weighted = F.aggregate(F.sequence(F.lit(1), F.lit(9)), F.lit(0), lambda s, i: s + F.substr(nine, i, F.lit(1)).cast("int") * (11 - i))
-    check = (11 - weighted % 11) % 11
-    shifted = F.when(F.col("p_partkey") % 7 == 0, (check + 1) % 11).otherwise(check)
-    return table(spark, sf_dir, "part").select("p_partkey", F.concat(nine, F.when(shifted == 10, "X").otherwise(shifted.cast("string"))).alias("code"))
+    shifted = once((11 - weighted % 11) % 11, lambda check: F.when(F.col("p_partkey") % 7 == 0, (check + 1) % 11).otherwise(check))
+    made = once(shifted, lambda k: F.concat(nine, F.when(k == 10, "X").otherwise(k.cast("string"))))
+    return dealt(spark, sf_dir, "part").select("p_partkey", made.alias("code"))
 
 
 @query(f"SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN '978' || b || c13 END AS isbn FROM {_NUMBERS}")
@@ -34,7 +35,7 @@ def isbn_normalise(spark, sf_dir):
 @query(f"SELECT p_partkey, b || c10 AS isbn10 FROM {_NUMBERS} WHERE p_partkey % 7 <> 0")
 def isbn13_to_10(spark, sf_dir):
     code = isbn.isbn10_to_13(F.col("code"))
-    return _ten(spark, sf_dir).select("p_partkey", isbn.isbn13_to_10(code).alias("isbn10")).filter("isbn10 IS NOT NULL")
+    return computed(_ten(spark, sf_dir), isbn10=isbn.isbn13_to_10(code)).filter("isbn10 IS NOT NULL").select("p_partkey", "isbn10")
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (p_partkey % 7 = 0) AS n_invalid FROM part")
@@ -131,7 +132,7 @@ def xml_field_extract(spark, sf_dir):
         *datafield("020", a=F.col("p_size").cast("string")), *datafield("100", a=F.concat("p_brand", F.lit(", "), "p_type")),
         *datafield("245", a=F.concat("p_name", F.lit(" /"))), *datafield("338", b=carrier), F.lit("</record>"),
     ]
-    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
+    raw = dealt(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
     fields = parsed_records(raw, "xml")
     electronic = F.exists(field_values("338", "b"), lambda x: F.lower(F.trim(x)) == "cr")
     return fields.filter(~electronic).select(
@@ -180,7 +181,7 @@ def local_records(spark, sf_dir):
         *field("010", ("a", F.lit("978-2"))), *field("200", ("a", F.col("p_name"))), *field("214", ("a", F.col("p_brand"))),
         *field("606", ("3", F.lit("promo a #1")), ("a", F.col("p_type")), ("2", F.lit("rameau"))), F.lit("</record>"),
     ]
-    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
+    raw = dealt(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"))
     found = local_works(parsed_records(raw, "xml"), {"title": ["a"], "place_of_publication": ["#1"], "subject": ["promo"]})
     joined = lambda c: F.array_join(c, " | ")
     return found.select(
@@ -245,5 +246,5 @@ def hybrid_record_index(spark, sf_dir):
         *field("700", ("b", "Ana"), ("a", c("p_brand")), ("3", F.concat(F.lpad(key.cast("string"), 8, "0"), F.lit("x")))), *field("711", ("c", "Lyon"), ("a", "Atelier"), ("3", "none")), F.lit("</record>"),
     ]
     year = F.when(key % 2 == 0, c("p_size") + 1900)
-    raw = table(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"), year.alias("known"))
+    raw = dealt(spark, sf_dir, "part").select("p_partkey", F.concat(*parts).alias("xml"), year.alias("known"))
     return hybrid_documents(raw, "xml", ["red", "hot", "promo", "large"], "known")
