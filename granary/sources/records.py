@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.functions.once import computed
 from granary.functions.text import contains_any
 
 _SUBFIELDS = "array<struct<_code: string, _VALUE: string>>"
@@ -59,19 +60,18 @@ def local_works(df: DataFrame, terms: dict[str, list[str]]) -> DataFrame:
     terms has a list for title, place_of_publication or subject. Adds id, numbers, titles, places, subjects,
     persons (ids of 700-702$3) and reasons.
     """
-    found = df.withColumns(
-        {
-            "id": F.trim(control_value("001")), "numbers": field_values("010", "a"), "titles": field_values(TITLE_TAGS, TITLE_CODES),
-            "places": field_values(["210", "214"], "a"), "subjects": subject_values(), "persons": field_values(["700", "701", "702"], "3"),
-        }
+    found = computed(
+        df,
+        id=F.trim(control_value("001")), numbers=field_values("010", "a"), titles=field_values(TITLE_TAGS, TITLE_CODES),
+        places=field_values(["210", "214"], "a"), subjects=subject_values(), persons=field_values(["700", "701", "702"], "3"),
     )
     columns = {"title": "titles", "place_of_publication": "places", "subject": "subjects"}
 
     def reason(name: str, own: list[str]) -> Column:
         return F.when(F.exists(columns[name], lambda x: F.coalesce(contains_any(x, own), F.lit(False))), F.lit(name))
 
-    out = found.withColumn("reasons", F.filter(F.array(*(reason(k, own) for k, own in terms.items())), lambda x: x.isNotNull()))
-    return out.filter((F.col("id") != "") & (F.size("numbers") > 0) & (F.size("reasons") > 0))
+    out = computed(found.filter((F.col("id") != "") & (F.size("numbers") > 0)), reasons=F.array_compact(F.array(*(reason(k, own) for k, own in terms.items()))))
+    return out.filter(F.size("reasons") > 0)
 
 
 def _any(*names: str) -> str:
