@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.isbn import normalize_isbn
+from granary.functions.once import computed, once
 from granary.functions.text import SEPARATOR, contains_any
 from granary.sources.records import parsed_records
 
@@ -35,23 +36,18 @@ def tag_index(record: str = "record") -> Column:
         return F.map_from_arrays(keys, F.transform(keys, lambda k: inner(F.filter(entries, lambda e: e[key] == k))))
 
     whole = lambda entries: by(entries, "tag", lambda own: by(own, "code", lambda same: F.transform(same, lambda e: e["value"])))
-    return F.get(F.transform(F.array(known), whole), F.lit(0))  # so that the fields are gone through once
+    return once(known, whole)  # so that the fields are gone through once
 
 
-def computed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Adds columns that later filters and selections read as they are: an explode of one row, which Spark sees no way through.
+def indexed_values(tags: list[str], codes: list[str], index: str = "index") -> Column:
+    """All values of the codes of the tags, by tag, then code, then record order; an empty array where there are none.
 
-    Otherwise the optimizer would copy a costly expression to each place that reads it.
+    Only tags and codes that the record has are looked up, in the order of the lists.
     """
-    made = F.explode(F.array(F.struct(*(v.alias(k) for k, v in columns.items()))))
-    return df.select("*", made.alias("_made")).select(*df.columns, "_made.*")
-
-
-def indexed_values(tags: list[str], codes: list[str], index: str = "index") -> Column:
-    """All values of the codes of the tags, by tag, then code, then record order; an empty array where there are none."""
     none = F.array().cast("array<string>")
-    of_tag = lambda t: F.transform(F.array(*map(F.lit, codes)), lambda c: F.coalesce(F.try_element_at(F.try_element_at(index, t), c), none))
-    return F.flatten(F.flatten(F.transform(F.array(*map(F.lit, tags)), of_tag)))
+    there = lambda known, names: F.array_intersect(F.array(*map(F.lit, names)), F.coalesce(F.map_keys(known), none))
+    of_codes = lambda own: F.flatten(F.transform(there(own, codes), lambda c: F.element_at(own, c)))
+    return F.flatten(F.transform(there(F.col(index), tags), lambda t: once(F.element_at(F.col(index), t), of_codes)))
 
 
 def _joined(values: Column) -> Column:
