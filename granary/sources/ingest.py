@@ -53,7 +53,7 @@ def numbered(df: DataFrame, name: str = "ordinal") -> DataFrame:
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     same = (F.col(f"{PLACE}.file") == F.col("_file")) & (F.col(f"{PLACE}.block") == F.col("_block"))
-    out = kept.join(starts, same)
+    out = kept.join(F.broadcast(starts), same)  # a shuffle would send all rows of a block to one task
     return out.select(*df.columns, (F.col("_start") + F.col(f"{PLACE}.row") - F.col("_first")).alias(name))
 
 
