@@ -15,13 +15,17 @@ def merged_by_id(df: DataFrame, id_column: str, sets: list[str], firsts: list[st
     return df.groupBy(id_column).agg(*(sorted_distinct(F.col(c)).alias(c) for c in sets), *first)
 
 
-def united_relations(relations: dict[str, DataFrame], name: str) -> DataFrame:
-    """Distinct rows of several link tables, each tagged with its relation."""
+def united_relations(relations: dict[str, DataFrame], name: str, parts: int | None = None) -> DataFrame:
+    """Distinct rows of several link tables, each tagged with its relation.
+
+    With parts, rows are dealt to so many tasks by what they hold before any is compared, so that a task keeps its share
+    alone; else Spark compares them where they are read, and once more by compressed bytes.
+    """
     out = None
     for tag, df in relations.items():
         own = df.withColumn(name, F.lit(tag))
         out = own if out is None else out.unionByName(own)
-    return out.distinct()
+    return (out.repartition(parts, *out.columns) if parts else out).distinct()
 
 
 def wide_values(df: DataFrame, id_column: str, kind: str, value: str, kinds: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.operators import multivariate, records
 from granary.operators.quantiles import exact_quantiles
-from granary.plans.catalog import query, table
+from granary.plans.catalog import query, table, tasks_for
 
 
 @query(
@@ -44,6 +44,7 @@ def united_relations(spark, sf_dir):
     return records.united_relations(
         {"supplies": pick(lines, "l_suppkey"), "buys": pick(bought, "o_custkey"), "returns": pick(bought.filter("l_returnflag = 'R'"), "o_custkey")},
         "relation",
+        tasks_for(lines, 500_000),  # a line has up to three relations
     )
 
 
