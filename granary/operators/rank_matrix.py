@@ -34,8 +34,8 @@ def rank_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, n, rho, p) for every two columns, in their order: Spearman's rho over the rows that have both, ties by
     average rank, and p from the t distribution. Null where fewer than two rows or one value is left.
 
-    Values are counted by column before they are ranked, and pairs of values before ranks are joined to them, so that
-    what is shuffled is at most a row for each different value or pair of values.
+    Rows of equal values are counted before they are taken apart, values by column before they are ranked, and pairs of
+    values before ranks are joined to them, so that what is shuffled is at most a row for each different row, value or pair.
     """
     columns = list(columns)
     known = df.select(*(F.col(f"`{c}`").cast("double").alias(c) for c in columns))
@@ -51,8 +51,9 @@ def rank_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             for k, (a, b) in enumerate(slots)
         )
     )
-    each = known.select(F.explode(F.array_compact(meets)).alias("m")).select("m.*")
-    joint = stored(each.groupBy("pair", "s", "a", "t", "b").agg(F.count("*").alias("n")), "pairs")
+    alike = known.groupBy(*columns).agg(F.count("*").alias("_n"))
+    each = alike.select(F.explode(F.array_compact(meets)).alias("m"), "_n").select("m.*", "_n")
+    joint = stored(each.groupBy("pair", "s", "a", "t", "b").agg(F.sum("_n").alias("n")), "pairs")
     # A slot's values come from one of the pairs that it serves.
     source = {}
     for k, pair in enumerate(slots):
