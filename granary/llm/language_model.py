@@ -24,15 +24,14 @@ a null id is never held out; columns other than id and text are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,25 +50,23 @@ def tokens_of(text: str | bytes | None) -> list[bytes]:
     return [*raw.lower().split(), END]
 
 
-def count_words(texts: DataFrame, most: int = 400_000) -> DataFrame:
-    """(word, c) over all tokens of texts, the end token as the empty word; summed in the task before the shuffle."""
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts (null: empty) one after the other, as ``tokens_of`` has them, and where each text's end."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # What follows a last space is empty: the end token.
+    closed = pc.if_else(pc.equal(trimmed, ""), trimmed, pc.binary_join_element_wise(trimmed, "", " "))
+    split = pc.ascii_split_whitespace(closed)
+    return split.flatten(), np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)
+
+
+def count_words(texts: DataFrame, lot: int = 4_000_000) -> DataFrame:
+    """(word, c) over all tokens of texts, the end token as the empty word; summed in lots of so many characters before
+    the shuffle, so that a worker holds no more of a large partition than of a small one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def counted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], ["word", "c"]
-            )
-
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                held.update(tokens_of(text.as_py()))
-            if len(held) > most:
-                yield counted()
-                held = Counter()
-        if held:
-            yield counted()
+        for batch in in_lots(batches, 0, rows=2000, size=lot):
+            found = words_in(batch.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays(found.flatten(), ["word", "c"])
 
     return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -294,8 +291,9 @@ class Model:
             squares[k] += g * g
             self.p[k] -= rate * g / np.sqrt(squares[k])
         # Only the words given have a gradient; without one nothing changes.
-        order = np.argsort(given.ravel(), kind="stable")
-        words, first = np.unique(given.ravel()[order], return_index=True)
+        flat = given.ravel().astype(np.min_scalar_type(len(self.p["input"])))  # few bits sort fast
+        order = np.argsort(flat, kind="stable")
+        words, first = np.unique(flat[order], return_index=True)
         g = np.clip(np.add.reduceat(dx[order], first), -1, 1)
         sums = squares["input"][words] + g * g
         squares["input"][words] = sums
@@ -314,8 +312,17 @@ class Model:
         return Model(p, self.hidden, self.width)
 
 
-def _ids(tokens: list[bytes], place: dict[bytes, int], unknown: int) -> np.ndarray:
-    return np.fromiter(map(place.get, tokens, repeat(unknown)), np.int64, len(tokens))
+class Places:
+    """Numbers of known words by a table of Arrow's, and of all others one number."""
+
+    def __init__(self, place: dict[bytes | None, int]) -> None:
+        known = [w for w in place if w is not None]
+        self.words = pa.array(known, pa.binary()).cast(pa.string())
+        self.numbers = np.array([*map(place.get, known), place[None]], np.int32)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        at = pc.index_in(words, value_set=self.words)
+        return self.numbers[pc.fill_null(at, len(self.words)).to_numpy(zero_copy_only=False)]
 
 
 def with_copies(docs: DataFrame) -> DataFrame:
@@ -367,12 +374,13 @@ def train_model(
         def run(batches: Iterator[pa.RecordBatch], held: Any = held) -> Iterator[pa.RecordBatch]:
             own, words = held.value
             own = own.with_blocks(own.blocks().copy())
-            n, squares, unknown = 0, {}, words[None]
+            n, squares, places = 0, {}, Places(words)
             waiting, size = [], 0
-            for lot in in_lots(batches, 0, rows=2000, size=8_000_000):
-                for text in lot.column(0).cast(pa.binary()).to_pylist():
-                    waiting.append(_ids(tokens_of(text), words, unknown))
-                    size += len(waiting[-1])
+            for lot in in_lots(batches, 0, rows=2000, size=2_000_000):
+                tokens, ends = words_in(lot.column(0))
+                for doc in np.split(places.of(tokens), ends[:-1]):
+                    waiting.append(doc)
+                    size += len(doc)
                     if size >= lot_tokens:
                         n += own.train(waiting, squares=squares)
                         waiting, size = [], 0
@@ -443,24 +451,24 @@ def score_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, place, known, log_c = held.value
         log_c = np.append(log_c, 0.0)
-        unknown, far = place[None], len(known)
-        in_model = np.array([place.get(w, unknown) for w in known] + [unknown])
+        unknown, far, places = place[None], len(known), Places(known | {None: len(known)})
+        in_model = np.array([place.get(w, unknown) for w in known] + [unknown], np.min_scalar_type(len(place)))
         share = np.where(in_model == unknown, log_c - rare_total, 0.0)  # of a word among those outside the model
         for batch in in_lots(batches, 2, rows=8000, size=24_000_000):  # together, as a step costs much the same for one document as for a thousand
-            docs, columns = [], [[], [], [], [], []]
-            for text in batch.column(2).cast(pa.binary()).to_pylist():
-                tokens = tokens_of(text)
-                at = _ids(tokens, known, far)
-                docs.append(in_model[at])
-                rare_at = np.flatnonzero(at == far).tolist()
-                columns[0].append(len(tokens))
-                columns[1].append(len(tokens) - len(rare_at))
-                columns[2].append(float(log_c[at].sum()))
-                columns[3].append(float(share[at].sum()))
-                columns[4].append([tokens[k] for k in rare_at])
-            scores = model.score(docs) / np.log(10) + np.array(columns[3])
-            rare = pa.array(columns[4], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
-            arrays = [batch.column(0), batch.column(1), *(pa.array(x) for x in columns[:3]), pa.array(scores), rare]
+            docs, columns, shares = [], [], []
+            for lot in in_lots(iter([batch]), 2, rows=8000, size=2_000_000):  # words take far more room than their numbers
+                tokens, ends = words_in(lot.column(2))
+                at, starts = places.of(tokens), np.r_[0, ends[:-1]]
+                rare = at == far
+                n_rare = np.add.reduceat(rare, starts, dtype=np.int64)
+                spell = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n_rare)], pa.int32()), tokens.filter(pa.array(rare)))
+                sizes = np.diff(ends, prepend=0)
+                columns.append([pa.array(sizes), pa.array(sizes - n_rare), pa.array(np.add.reduceat(log_c[at], starts)), spell])
+                shares.append(np.add.reduceat(share[at], starts))
+                docs += np.split(in_model[at], ends[:-1])
+            n_tokens, n_known, logs, words = (pa.concat_arrays(c) for c in zip(*columns, strict=True))
+            scores = model.score(docs) / np.log(10) + np.concatenate(shares)
+            arrays = [batch.column(0), batch.column(1), n_tokens, n_known, logs, pa.array(scores), words]
             names = ["row", "doc_id", "n_tokens", "n_known", "logs", "score", "rare"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 

@@ -2,14 +2,16 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from granary.llm.html_text import extract_text, visible_text
-from granary.llm.language_model import Model, averaged, score_documents, tokens_of, train_model, with_copies
+from granary.llm.language_model import Model, Places, averaged, count_words, score_documents, tokens_of, train_model, with_copies, words_in
 from granary.llm.pii import KINDS, LOOK_ALIKE, find_spans, plain_spans, redact, redacted, rewrite, scan_pii
 from granary.llm.quality_ranker import fit_ranker, rank_quality
 
@@ -266,6 +268,31 @@ def test_base_scores(make, odd, prose):
     assert score_documents(make({})).count() == 0
 
 
+def test_words_of_many_texts_at_once(make, odd, prose):
+    texts = [*(t for _, t in odd), *prose(40, 3), "\tA  b\x0b\x0c", "a\x85b\xa0C\x1cd\x00 ", "ÀÉ İ ẞ"]
+    own = [tokens_of(t) for t in texts]
+    words, ends = words_in(pa.array(["skipped", *texts]).slice(1))
+    assert words.cast(pa.binary()).to_pylist() == [w for t in own for w in t] and np.diff(ends, prepend=0).tolist() == list(map(len, own))
+    place = {b"": 3, b"word": 0, "ß".encode(): 2, None: 7}
+    assert Places(place).of(words).tolist() == [place.get(w, 7) for t in own for w in t]
+    expected = Counter(w.decode() for t in own for w in t)
+    for lot in (50, 4_000_000):
+        assert dict(count_words(make(dict(enumerate(texts))).select("text"), lot=lot).collect()) == expected
+
+
+def test_a_lot_of_words_takes_little_memory():
+    # A Python object for each word took some 50 bytes.
+    texts = pa.array([" ".join(f"w{i * k % 9973}" for i in range(20_000)) for k in range(1, 11)])
+    places, before = Places({b"": 0, b"w1": 1, None: 2}), pa.total_allocated_bytes()
+    tracemalloc.start()
+    words, ends = words_in(texts)
+    numbers = places.of(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(numbers) == ends[-1] == 200_010 and peak < 10 * len(numbers)
+    assert pa.total_allocated_bytes() - before < 12 * len(numbers)
+
+
 def naive_spans(text):
     """The contract's patterns as they stand, searched from every place."""
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
