@@ -95,8 +95,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _log_softmax_at(x: np.ndarray, at: np.ndarray, small: bool, grads: bool) -> np.ndarray:
-    """Natural log softmax of each row of x at one place; x becomes the mean loss's gradient if wanted, else scratch.
+def _log_softmax_at(x: np.ndarray, at: np.ndarray, small: bool, grads: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log softmax of each row of x at one place, and a factor for each row: the row of x times it becomes the
+    mean loss's gradient if wanted. Else x is scratch.
 
     small says that no value of x can leave the range of exp.
     """
@@ -108,9 +109,8 @@ def _log_softmax_at(x: np.ndarray, at: np.ndarray, small: bool, grads: bool) ->
     total = x @ np.ones(x.shape[1], x.dtype)
     out -= np.log(total)
     if grads:
-        x *= (1 / (total * len(x)))[:, None]
-        x[here, at] -= 1 / len(x)
-    return out
+        x[here, at] -= total
+    return out, 1 / (total * len(x))[:, None]
 
 
 @dataclass
@@ -150,30 +150,35 @@ class Model:
             float((np.abs(p["word_w"]).sum(1) + np.abs(p["word_b"])).max()),
         )
         small = far < 40 and float(np.abs(h).max(initial=0)) <= 1
-        d = h @ p["class_w"]
-        d += p["class_b"]
-        out = _log_softmax_at(d, cls, small, learn)
+        # A column of ones brings the biases into the products.
+        wide = np.empty((m, self.hidden + 1), h.dtype)
+        wide[:, :-1], wide[:, -1] = h, 1
+        d = wide @ np.vstack([p["class_w"], p["class_b"]])
+        out, by = _log_softmax_at(d, cls, small, learn)
         # Words by class: those of one class share their weights.
         order = np.argsort(cls.astype(np.int16), kind="stable")
         classes = cls[order]
         first = np.flatnonzero(np.r_[True, classes[1:] != classes[:-1]][:m])
         used = list(zip(classes[first].tolist(), first.tolist(), [*first[1:].tolist(), m], strict=True))
-        hs = h[order]
-        own = np.take(p["word_b"], classes, 0)
+        hs, weights = wide[order], np.concatenate([p["word_w"], p["word_b"][:, None]], 1)
+        own = np.empty((m, self.width), d.dtype)
         for c, i, j in used:
-            own[i:j] += hs[i:j] @ p["word_w"][c]
-        out[order] += _log_softmax_at(own, at[order], small, learn)
+            np.matmul(hs[i:j], weights[c], out=own[i:j])
+        more, own_by = _log_softmax_at(own, at[order], small, learn)
+        out[order] += more
         if not learn:
             return out
-        ones = np.ones(m, d.dtype)
-        np.matmul(h.T, d, out=grads["class_w"])
-        np.matmul(ones, d, out=grads["class_b"])
+        found = (wide * by).T @ d
+        grads["class_w"][:], grads["class_b"][:] = found[:-1], found[-1]
         dh = d @ p["class_w"].T
-        back = np.empty_like(hs)
+        dh *= by
+        hs *= own_by
+        back = np.empty((m, self.hidden), d.dtype)
         for c, i, j in used:
-            np.matmul(hs[i:j].T, own[i:j], out=grads["word_w"][c])
-            np.matmul(ones[i:j], own[i:j], out=grads["word_b"][c])
+            found = hs[i:j].T @ own[i:j]
+            grads["word_w"][c], grads["word_b"][c] = found[:-1], found[-1]
             np.matmul(own[i:j], p["word_w"][c].T, out=back[i:j])
+        back *= own_by
         dh[order] += back
         return out, dh
 
