@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import materialize
+from granary.llm.common import in_lots, materialize
 
 #: (class, first rank, end rank, pieces of the class in a sequence, first sequence)
 Run = tuple[int, int, int, int, int]
@@ -60,8 +61,11 @@ class ChunkEncoder:
 
     def __init__(self, path: str, remember: int) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # Lower-case words of the letters a-z are left alone by the normalizer and the split into words.
+        self.letters.normalizer, self.letters.pre_tokenizer = None, WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
@@ -74,8 +78,11 @@ class ChunkEncoder:
     def _encode_new(self, chunks: list[str], lot: int = 500) -> dict[str, bytes]:
         """Ids of each chunk. Lots of chunks are encoded as one text and cut at the tokens that end a word."""
         out: dict[str, bytes] = {}
-        for part in (chunks[i : i + lot] for i in range(0, len(chunks), lot)):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        plain = [c for c in chunks if c.isascii() and c.isalpha()]
+        others = [c for c in chunks if not (c.isascii() and c.isalpha())]
+        kinds = ((self.letters, plain), (self.tokenizer, others))
+        for tokenizer, part in ((t, of[i : i + lot]) for t, of in kinds for i in range(0, len(of), lot)):
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             last = np.flatnonzero(self.ends_word[ids]) + 1
             words = np.cumsum([1 if c.isalpha() else len(_SPLIT.findall(c)) for c in part])
             if words[-1] != len(last):  # the two splits differ: one by one
@@ -86,26 +93,36 @@ class ChunkEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if _ODD.search(t) else t.lower().split() for t in texts]
-        known = self.known
+        """Each different chunk of the texts is looked up once; its ids are then laid out wherever it stands."""
+        odd = [bool(_ODD.search(t)) for t in texts]
+        split = pc.utf8_split_whitespace(pa.array(["" if o else t.lower() for o, t in zip(odd, texts, strict=True)], pa.string()))
+        flat = split.flatten().dictionary_encode()
+        chunks, known = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
         room = self.remember - len(known)
-        new, ended, need = set().union(*filter(None, chunks)) - known.keys(), [], set()
-        for c in new:  # a stop or comma after a letter is a word of its own
+        ended, need = [], set()
+        for c in chunks:  # a stop or comma after a letter is a word of its own
+            if c in known:
+                continue
             stem = c.rstrip(".,")
             if stem != c and stem and stem[-1].isalpha():
                 ended.append((c, stem, c[len(stem) :]))
                 need.update((stem, c[len(stem) :]))
             else:
                 need.add(c)
-        added = list(need - known.keys())
+        need.discard("")  # stands beside white space at a text's ends
+        added = [c for c in need if c not in known]
         known.update(self._encode_new(added))
         known.update([(c, known[stem] + known[tail]) for c, stem, tail in ended])
-        get = known.__getitem__
-        out = [self.whole(t) if own is None else b"".join(map(get, own)) for t, own in zip(texts, chunks, strict=True)]
+        own = [known[c] if c else b"" for c in chunks]
         added += [c for c, _, _ in ended]
         for c in added[max(room, 0) :]:  # beyond the bound: forgotten again
             known.pop(c, None)
-        return out
+        at, sizes = flat.indices.to_numpy(), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts, lengths = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        ends = np.cumsum(lengths)
+        ids = np.frombuffer(b"".join(own), "<u4")[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())].tobytes()
+        bounds = [0, *(4 * ends[np.cumsum(pc.list_value_length(split).to_numpy()) - 1]).tolist()] if texts else [0]
+        return [self.whole(t) if o else ids[i:j] for o, t, i, j in zip(odd, texts, bounds, bounds[1:], strict=False)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -114,16 +131,16 @@ def _encoder(path: str, remember: int) -> ChunkEncoder:
 
 
 def cut_pieces(
-    docs: DataFrame, *, path: str, length: int, end_id: int, remember: int, lot: int = 512
+    docs: DataFrame, *, path: str, length: int, end_id: int, remember: int, lot: int = 2048
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's ids and end id, cut every ``length`` ids.
 
-    lot texts are encoded at a time, which bounds the tokenizer's memory.
+    lot texts, of some million characters at most, are encoded at a time, which bounds the memory of a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, last = _encoder(path, remember), np.array([end_id], "<u4").tobytes()
-        for batch in (b.slice(i, lot) for b in batches for i in range(0, b.num_rows, lot)):
+        for batch in in_lots(batches, 1, rows=lot, size=4_000_000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at, start, size, crc, total = [], [], [], [], []
             for k, ids in enumerate(encoder.encode(texts)):

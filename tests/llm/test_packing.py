@@ -14,6 +14,23 @@ def test_encoder_gives_the_tokenizers_ids(prose):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+class Counting(dict):
+    looked_up = 0
+
+    def __getitem__(self, key):
+        self.looked_up += 1
+        return super().__getitem__(key)
+
+
+def test_encoder_looks_up_each_chunk_of_a_lot_once():
+    encoder, whole = ChunkEncoder(default_tokenizer(), 50), Tokenizer.from_file(default_tokenizer())
+    encoder.known = Counting()
+    texts = [" Some words, again\xa0and again. " * 50, "", " ", "\x85words12 \u037e \u0374 \u212b", "again"] * 4
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert encoder.known.looked_up < 40 and encoder.encode([]) == []
+
+
 def test_pricing_is_the_best_knapsack():
     value, pattern = price(np.array([0.3, 0.5, 0.8]), np.array([3, 5, 7]), 16)
     assert value == pytest.approx(0.8 * 2) or value >= 1.6
