@@ -14,6 +14,7 @@ from granary.functions import special
 from granary.functions.normal import inverse_normal
 from granary.operators import fits, multivariate, statistics
 from granary.operators.rank_matrix import rank_correlations
+from granary.plans import catalog
 
 
 def test_inverse_normal(spark):
@@ -164,3 +165,18 @@ def test_clusters_are_named_by_their_centres_and_chosen_as_in_sql(spark):
     db = duckdb.connect()
     db.register("t", table)
     assert sorted(r["k"] for r in chosen.collect()) == sorted(k for (k,) in db.execute(sql.replace("table", "t")).fetchall())
+
+
+def test_target_nations_are_large_and_not_at_home(spark, tmp_path):
+    sizes = {0: 8, 1: 4, 2: 8, 3: 6, 4: 8, 6: 8, 5: 4, 7: 8, 8: 6, 9: 4, 10: 8, 11: 4, 12: 5, 13: 4, 14: 5}  # 6 in the mean
+    wealth = {n: 10 if n in (0, 1, 2, 3, 4, 6) else 5 if n < 11 else 1 for n in sizes}
+    people = list(enumerate(n for n in sizes for _ in range(sizes[n])))
+    tables = {
+        "nation": ([(n, "FRANCE" if n == 4 else f"NATION_{n}") for n in sizes], "n_nationkey int, n_name string"),
+        "customer": ([(k, n, 100.0 * wealth[n]) for k, n in people], "c_custkey long, c_nationkey int, c_acctbal double"),
+        "orders": ([(k, 1000.0 * wealth[n]) for k, n in people for _ in range(wealth[n])], "o_custkey long, o_totalprice double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = catalog.queries()["target_nations"](spark, str(tmp_path)).collect()
+    assert sorted(r["n_nationkey"] for r in got) == [0, 2]
